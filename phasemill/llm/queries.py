@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phasemill.llm.mixing import mix_sources
 from phasemill.llm.nearest import nearest_in_time
 from phasemill.llm.runs import collapse_runs
+from phasemill.llm.tokens import encode_corpus
 from phasemill.session import ms_of, table
 
 RUN_GAP_MS, NEAR_MS = 250, 40
@@ -27,7 +29,30 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("take", "source", F.col("left_time").alias("start_ms"), F.col("right_value").alias("frame_idx"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found)}
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode_corpus(table(spark, d, "documents"), ["doc_id"], "text")
+
+
+def p7_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Tokens per source and language."""
+    counts = encode_corpus(table(spark, d, "documents"), ["source", "lang"], "text", count_only=True)
+    return counts.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.max("n_tokens").alias("longest"))
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = encode_corpus(table(spark, d, "documents"), ["doc_id", "source"], "text", count_only=True)
+    return mix_sources(sizes, "doc_id", "source", "n_tokens", table(spark, d, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p7_ids, p7_stats, p8_mix, p8_shares)}
 
 ORACLES = {
     "p4_found": f"""
