@@ -9,6 +9,7 @@ from phasemill.llm.mixing import mix_sources
 from phasemill.llm.nearest import nearest_in_time
 from phasemill.llm.runs import collapse_runs
 from phasemill.llm.tokens import encode_corpus
+from phasemill.llm.truncation import truncated_texts
 from phasemill.session import ms_of, table
 
 RUN_GAP_MS, NEAR_MS = 250, 40
@@ -52,7 +53,27 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixed(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p7_ids, p7_stats, p8_mix, p8_shares)}
+def _truncated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return truncated_texts(table(spark, d, "documents"), "doc_id", "text", "source", "page_id")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _truncated(spark, d)[0].filter("truncated").select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates, and how many of the texts at a limit are cut."""
+    cut, at = F.col("truncated"), F.col("at_limit")
+    rates = _truncated(spark, d)[0].groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count_if(cut).alias("n_truncated"), F.count_if(at).alias("n_at_limit"), F.count_if(at & cut).alias("n_truncated_at_limit"))
+    return rates.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
+
+
+def p9_limits(spark: SparkSession, d: str) -> DataFrame:
+    """The hidden storage limits of each source."""
+    return _truncated(spark, d)[1]
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p5_found, p7_ids, p7_stats, p8_mix, p8_shares, p9_found, p9_rates, p9_limits)}
 
 ORACLES = {
     "p4_found": f"""
