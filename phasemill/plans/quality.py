@@ -47,7 +47,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_grid(spark: SparkSession, d: str) -> DataFrame:
     """The whole 20 Hz series of the wrist's x."""
     grid = regular_grid(_wrist(spark, d), ["take"], "timestamp_ms", "x", CELL_MS, GAUGE, FILL, MARK)
-    return grid.select("take", "slot", "how", "n_readings", F.round("increment", 9).alias("increment"), F.round("value", 9).alias("value"))
+    return grid.select("take", "slot", "how", "n_readings", F.round("increment", 12).alias("increment"), F.round("value", 12).alias("value"))
 
 
 def p2_frames(spark: SparkSession, d: str) -> DataFrame:
@@ -188,7 +188,7 @@ ORACLES = {
     "p1_found": f"WITH {_PERIODS} SELECT take, 'period' AS kind, s AS start_ms, e AS end_ms FROM periods UNION ALL SELECT take, 'gap', e, nxt FROM following WHERE nxt - e <= {PAUSE_MS}",
     "p1_coverage": f"WITH {_PERIODS} SELECT take, count(*) AS n_periods, CAST(sum(e - s) AS BIGINT) AS covered_ms, min(s) AS from_ms, max(e) AS to_ms FROM periods GROUP BY take",
     "p2_found": f"WITH {_spans('x')} SELECT take, slot, CASE WHEN absent <= {FILL} THEN 'filled' ELSE 'marked' END AS how FROM holes",
-    "p2_grid": f"WITH {_grid('x', '(v1 - v0)')} SELECT take, slot, how, n_readings, round(increment, 9) AS increment, round(value, 9) AS value FROM grid",
+    "p2_grid": f"WITH {_grid('x', '(v1 - v0)')} SELECT take, slot, how, n_readings, round(increment, 12) AS increment, round(value, 12) AS value FROM grid",
     "p2_frames": f"WITH {_grid('frame_idx', '(CASE WHEN v1 < v0 THEN v1 ELSE v1 - v0 END)')} SELECT take, slot, how, n_resets, round(increment, 6) AS frames FROM grid",
     "p3_found": _DIFF,
     "p3_summary": f"SELECT table_name, field, kind, count(*) AS n FROM ({_DIFF}) GROUP BY ALL",

@@ -49,6 +49,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this process has materialized; results that still read it can't be computed again."""
+    jvm, n = spark.sparkContext._jvm, len(_written)
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
@@ -57,6 +69,7 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
