@@ -141,24 +141,25 @@ def absorb_short_runs(runs: DataFrame, entity: Sequence[str], order: str, label:
     return runs.withColumn("__kept", F.when(keeps, F.col(label))).withColumn("absorbed", F.last("__kept", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__kept")
 
 
-def fill_short_gaps(df: DataFrame, entity: Sequence[str], order: str, time: str, value: str, shard: Column) -> DataFrame:
+def fill_short_gaps(df: DataFrame, entity: Sequence[str], order: str, time: str, values: Sequence[str], shard: Column) -> DataFrame:
     """Runs of one or two NULLs with values on both sides are filled linearly in time: adds ``<value>_filled`` and ``<value>_was_gap``.
 
-    Such a run needs no search: its neighbours are one or two rows away.
+    Such a run needs no search: its neighbours are one or two rows away. All values are filled in one
+    pass over the rows.
     """
 
     def filled(part: DataFrame, by: list[str]) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(order)
-        at = lambda c, k: F.lag(c, k).over(w) if k > 0 else F.lead(c, -k).over(w)
-        part = part.withColumns({f"__{n}{j}": at(c, k) for n, c in (("v", value), ("t", time)) for j, k in enumerate((2, 1, -1, -2))})
-        pairs = [(1, 2), (0, 2), (1, 3)]  # nearest before and after: runs of one, and either row of a run of two
-        known = [F.col(f"__v{a}").isNotNull() & F.col(f"__v{b}").isNotNull() for a, b in pairs]
-        line = lambda a, b: F.col(f"__v{a}") + (F.col(f"__v{b}") - F.col(f"__v{a}")) * (F.col(time) - F.col(f"__t{a}")) / F.nullif(F.col(f"__t{b}") - F.col(f"__t{a}"), F.lit(0))
-        inner = [(1, 2, known[0]), (0, 2, known[1] & F.col("__v1").isNull()), (1, 3, known[2] & F.col("__v2").isNull())]
-        guess = reduce(lambda e, x: e.when(x[2], line(x[0], x[1])), inner[1:], F.when(inner[0][2], line(1, 2)))
-        was = F.col(value).isNull() & guess.isNotNull()
-        part = part.withColumns({f"{value}_filled": F.coalesce(F.col(value), guess), f"{value}_was_gap": was})
-        return part.drop(*[f"__{n}{j}" for n in "vt" for j in range(4)])
+        near = {f"__{n}{j}": F.lag(c, k).over(w) if k > 0 else F.lead(c, -k).over(w) for n, c in [("t", time), *[(f"v{i}_", v) for i, v in enumerate(values)]] for j, k in enumerate((2, 1, -1, -2))}
+        part, out = part.withColumns(near), {}
+        for i, value in enumerate(values):
+            v = [F.col(f"__v{i}_{j}") for j in range(4)]
+            # a run of one, and either row of a run of two: nearest values before and after
+            cases = [(1, 2, F.lit(True)), (0, 2, v[1].isNull()), (1, 3, v[2].isNull())]
+            line = lambda a, b, v=v: v[a] + (v[b] - v[a]) * (F.col(time) - F.col(f"__t{a}")) / F.nullif(F.col(f"__t{b}") - F.col(f"__t{a}"), F.lit(0))
+            guess = F.coalesce(*[F.when(v[a].isNotNull() & v[b].isNotNull() & c, line(a, b)) for a, b, c in cases])
+            out |= {f"{value}_filled": F.coalesce(F.col(value), guess), f"{value}_was_gap": F.col(value).isNull() & guess.isNotNull()}
+        return part.withColumns(out).drop(*near)
 
     return bounded_reach(df.withColumn(SHARD, shard), entity, SHARD, [order], 2, filled).drop(SHARD)
 

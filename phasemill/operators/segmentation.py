@@ -165,7 +165,7 @@ def smoothed_posteriors(post: DataFrame, n: int) -> DataFrame:
     return bounded_reach(post.withColumn(SHARD, F.floor(F.col("sample_idx") / 4096)), ["take"], SHARD, ["sample_idx"], n // 2, rolled).drop(SHARD)
 
 
-def _events(labelled: DataFrame, ends: DataFrame) -> DataFrame:
+def events_of(labelled: DataFrame, ends: DataFrame) -> DataFrame:
     """Events of samples with ``label`` and the posteriors: ``take, event_idx, label, start_s, end_s, duration_s, n_samples, mean_confidence, labels_in_event``."""
     chosen = F.sum(F.element_at(F.create_map(*[v for x in LABELS for v in (F.lit(x), F.col(f"p_{x}"))]), F.col("label")))
     runs = islands(labelled, ["take"], "sample_idx", "label", F.floor(F.col("sample_idx") / 4096), {"confidence": chosen})
@@ -184,14 +184,14 @@ def decode_argmax(post: DataFrame, ends: DataFrame, least: int = 6) -> DataFrame
     s = smoothed_posteriors(post, 5).withColumn("label", _most_likely())
     runs = absorb_short_runs(islands(s, ["take"], "sample_idx", "label", F.floor(F.col("sample_idx") / 4096)), ["take"], "island", "label", "n", least)
     spread = runs.withColumn("sample_idx", F.explode(F.sequence("first", "last"))).select("take", "sample_idx", "absorbed")
-    return _events(s.drop("label").join(spread, ["take", "sample_idx"]).withColumnRenamed("absorbed", "label"), ends)
+    return events_of(s.drop("label").join(spread, ["take", "sample_idx"]).withColumnRenamed("absorbed", "label"), ends)
 
 
 def decode_pelt(post: DataFrame, ends: DataFrame, penalty: float = 1.0, min_size: int = 3) -> DataFrame:
     """Changepoints of the 5-smoothed posteriors; each segment has the label of the greatest mean probability."""
     s = changepoints(smoothed_posteriors(post, 5), "sample_idx", [f"p_{x}" for x in LABELS], penalty, min_size)
     label = s.groupBy("take", "segment").agg(*[F.avg(f"p_{x}").alias(f"p_{x}") for x in LABELS]).select("take", "segment", _most_likely().alias("label"))
-    return _events(s.join(label, ["take", "segment"]), ends)
+    return events_of(s.join(label, ["take", "segment"]), ends)
 
 
 def decode_grammar(post: DataFrame, ends: DataFrame, following: float = 4.0, other: float = 12.0) -> DataFrame:
@@ -199,4 +199,4 @@ def decode_grammar(post: DataFrame, ends: DataFrame, following: float = 4.0, oth
     cols = [f"p_{x}" for x in LABELS]
     s = smoothed_posteriors(post, 3)
     path = by_chunk(s, "sample_idx", cols, lambda g: viterbi(np.log(np.clip(g[cols].to_numpy(float), 1e-4, None)), 0.0, following, other))
-    return _events(s.join(path.withColumn("label", F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("out") + 1).cast("int"))).drop("out"), ["take", "sample_idx"]), ends)
+    return events_of(s.join(path.withColumn("label", F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("out") + 1).cast("int"))).drop("out"), ["take", "sample_idx"]), ends)

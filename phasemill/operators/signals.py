@@ -7,7 +7,6 @@ every grid point inside it, so nothing searches along a take. Smoothing is a fix
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -123,21 +122,24 @@ def savgol(df: DataFrame, entity: Sequence[str], index: str, last_index: str, va
     """
     half = window // 2
 
+    columns = sorted({c for c, _ in values.values()})
+    # one SQL text per column: the sums have hundreds of terms
+    at = lambda c, k: f"`__{c}{k}`" if k else f"`{c}`"
+
+    def total(c: str, row: np.ndarray, own: int) -> str:
+        return " + ".join(f"{float(w)!r}D * {at(c, j - own)}" for j, w in enumerate(row))
+
+    def cases(c: str, derivative: int) -> str:
+        weights = savgol_weights(window, 2, derivative, dt)
+        edges = [f"WHEN {index} = {r} THEN {total(c, weights[r], r)} WHEN {last_index} - {index} = {r} THEN {total(c, weights[-1 - r], window - 1 - r)}" for r in range(half)]
+        return f"CASE WHEN {last_index} < {window - 1} THEN NULL {' '.join(edges)} ELSE {total(c, weights[half], half)} END"
+
     def smoothed(part: DataFrame, by: list[str]) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(index)
-        columns = sorted({c for c, _ in values.values()})
-        part = part.withColumns({f"__{c}{k}": F.lag(c, -k).over(w) if k < 0 else F.lead(c, k).over(w) for c in columns for k in range(1 - window, window) if k})
-        at = lambda c, k: F.col(f"__{c}{k}") if k else F.col(c)
-        out = {}
-        for name, (c, d) in values.items():
-            weights = savgol_weights(window, 2, d, dt)
-            total = lambda row, shift, c=c, weights=weights: reduce(lambda a, b: a + b, [F.lit(float(weights[row, j])) * at(c, j - shift) for j in range(window)])
-            e = F.when(F.col(last_index) < window - 1, None)
-            for r in range(half):
-                e = e.when(F.col(index) == r, total(r, r))
-                e = e.when(F.col(last_index) - F.col(index) == r, total(window - 1 - r, window - 1 - r))
-            out[name] = e.otherwise(total(half, half))
-        return part.withColumns(out).drop(*[f"__{c}{k}" for c in columns for k in range(1 - window, window) if k])
+        over = f"OVER (PARTITION BY {', '.join(by)} ORDER BY {index})"
+        near = [(c, k) for c in columns for k in range(1 - window, window) if k]
+        part = part.select("*", *[F.expr(f"{'lag' if k < 0 else 'lead'}(`{c}`, {abs(k)}) {over} AS `__{c}{k}`") for c, k in near])
+        part = part.select("*", *[F.expr(f"{cases(c, d)} AS `{name}`") for name, (c, d) in values.items()])
+        return part.drop(*[f"__{c}{k}" for c, k in near])
 
     return bounded_reach(df.withColumn(SHARD, shard), entity, SHARD, [index], window - 1, smoothed).drop(SHARD)
 
@@ -155,8 +157,7 @@ def derive_signals(frames: DataFrame, params: SignalParams = SignalParams()) ->
     missing. Per-take scalars are exact and distributed; they meet the samples by a join on the take.
     """
     native = native_channels(frames)
-    for c in ("X", "Y", "ap"):
-        native = fill_short_gaps(native, ["take"], "frame_idx", "t", c, F.floor(F.col("frame_idx") / FRAME_SHARD))
+    native = fill_short_gaps(native, ["take"], "frame_idx", "t", ["X", "Y", "ap"], F.floor(F.col("frame_idx") / FRAME_SHARD))
     native = native.select("take", "frame_idx", "t", "hand", *[F.col(f"{c}_filled").alias(c) for c in ("X", "Y", "ap")], (F.col("X_was_gap") | F.col("Y_was_gap") | F.col("ap_was_gap")).alias("was_gap"))
     native = materialize(native, "native")
     bounds = materialize(bounds_of(native), "bounds")
@@ -167,6 +168,8 @@ def derive_signals(frames: DataFrame, params: SignalParams = SignalParams()) ->
     lo, hi = F.floor((F.col("t") - F.col("t0")) * GRID_HZ), F.floor((F.col("next_t") - F.col("t0")) * GRID_HZ) + 1
     flagged = spans.withColumn("sample_idx", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi))).withColumn("g", F.col("t0") + F.col("sample_idx") / float(GRID_HZ)).filter((F.col("g") > F.col("t")) & (F.col("g") <= F.col("next_t"))).select("take", "sample_idx", F.lit(True).alias("flag")).distinct()
     grid = grid.join(flagged, ["take", "sample_idx"], "left").withColumn("missing", F.col("X").isNull() | F.col("Y").isNull() | F.col("ap").isNull()).withColumn("interpolated", F.coalesce("flag", F.lit(False)) & ~F.col("missing")).drop("flag")
+    # written, since every pass by shards and edges below would otherwise resample again
+    grid = materialize(grid, "grid")
     full = filled_by_index(grid, ["X", "Y", "ap"])
     shard = F.floor(F.col("sample_idx") / GRID_SHARD)
     smooth = savgol(full, ["take"], "sample_idx", "last_idx", {"Xs": ("X_full", 0), "Ys": ("Y_full", 0), "vx": ("X_full", 1), "vy": ("Y_full", 1), "aperture": ("ap_full", 0), "aperture_slope": ("ap_full", 1)}, params.smooth_win, shard, 1.0 / GRID_HZ)

@@ -72,11 +72,11 @@ for _name in list(QUERIES_SQL)[:4]:
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     """Frames as samples with detected phase, hand label and visibility; segments cut without overlap."""
-    pairs = label_frames(S.build_frames(table(spark, d, "raw_keypoints")), _disjoint_events(spark, d), truth(spark, d))
+    pairs = label_frames(S.build_frames(table(spark, d, "raw_keypoints")), disjoint_events(spark, d), truth(spark, d))
     return pairs.join(S.build_frames(table(spark, d, "raw_keypoints")).select("take", "frame_idx", "detected"), ["take", "frame_idx"])
 
 
-def _disjoint_events(spark: SparkSession, d: str) -> DataFrame:
+def disjoint_events(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).filter(F.col("label").isNotNull()).select("take", "event_idx", "label", "start_s", "end_s")
     w = Window.partitionBy("take").orderBy("start_s", "event_idx")
     return rows.withColumn("end_s", F.least("end_s", F.coalesce(F.lead("start_s").over(w), F.col("end_s")))).filter("end_s > start_s")
@@ -316,7 +316,7 @@ n AS (SELECT *, lag(v, 2) OVER w AS v0, lag(v) OVER w AS v1, lead(v) OVER w AS v
   WHEN v1 IS NOT NULL AND v3 IS NOT NULL AND v2 IS NULL THEN v1 + (v3 - v1) * (t - a1) / nullif(a3 - a1, 0) END), 9) AS filled FROM n""")
 def short_gap_fill(spark: SparkSession, d: str) -> DataFrame:
     frames = S.build_frames(table(spark, d, "raw_keypoints")).filter("t IS NOT NULL").select("take", "frame_idx", "t", F.when(F.col("detected"), F.col("i0_x")).alias("v"))
-    return R.fill_short_gaps(frames, ["take"], "frame_idx", "t", "v", F.floor(F.col("frame_idx") / 4096)).select("take", "frame_idx", F.round("v_filled", 9).alias("filled"))
+    return R.fill_short_gaps(frames, ["take"], "frame_idx", "t", ["v"], F.floor(F.col("frame_idx") / 4096)).select("take", "frame_idx", F.round("v_filled", 9).alias("filled"))
 
 
 @query(f"""WITH k AS (SELECT take, timestamp_ms / 1000.0::DOUBLE AS t, min(x) AS v FROM raw_keypoints WHERE keypoint_id = 0 AND detected AND x BETWEEN -1 AND 2 AND timestamp_ms IS NOT NULL GROUP BY ALL),
@@ -445,7 +445,7 @@ def nan_to_null(spark: SparkSession, d: str) -> DataFrame:
 @query(None)
 def boundary_match(spark: SparkSession, d: str) -> DataFrame:
     """Boundary scores with chance baselines, per take and cycle."""
-    return boundary_metrics(_disjoint_events(spark, d), truth(spark, d))
+    return boundary_metrics(disjoint_events(spark, d), truth(spark, d))
 
 
 
