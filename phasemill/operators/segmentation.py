@@ -22,8 +22,8 @@ def pelt(x: np.ndarray, penalty: float, min_size: int = 3) -> list[int]:
     Exact dynamic programming with pruning: a last changepoint that even without a penalty costs
     more than the optimum at t can't be best again, once a segment of ``min_size`` fits behind t.
     """
-    x = np.asarray(x, float).reshape(len(x), -1)
     n = len(x)
+    x = np.asarray(x, float).reshape(n, -1 if n else 1)
     if n < 2 * min_size:
         return []
     s1 = np.vstack([np.zeros(x.shape[1]), np.cumsum(x, 0)])
@@ -97,9 +97,7 @@ def by_chunk(df: DataFrame, order: str, columns: Sequence[str], kernel: Callable
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable")
         own = (g[order] // chunk == key[1]).to_numpy()
-        if not own.any():
-            return pd.DataFrame({"take": [], order: [], "out": []})
-        return pd.DataFrame({"take": key[0], order: g[order], "out": np.asarray(kernel(g), np.int64)})[own]
+        return g[["take", order]].assign(out=np.asarray(kernel(g), np.int64))[own]
 
     return rows.groupBy("take", "__chunk").applyInPandas(run, f"take string, {order} long, out long")
 
