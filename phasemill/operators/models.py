@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from phasemill.schemas import LABELS
 
-SAMPLE_ROWS = 100_000
+SAMPLE_ROWS = 30_000
 
 
 def bounded_sample(df: DataFrame, keys: Sequence[str], rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
