@@ -13,8 +13,8 @@ from phasemill.operators.parity import parity_check, parity_counts, same_rows
 from phasemill.operators.quantiles import exact_quantiles
 from phasemill.operators.reach import bounded_reach
 from phasemill.plans.governance import label_problems, label_template
-from phasemill.plans.serving import QUERIES_SQL, VIEWS_SQL, duckdb_sql, phase_columns, run_sql, serve_frames
-from phasemill.schemas import LABELS, PROTOCOL
+from phasemill.plans.serving import NAMED, accuracy_view, phase_columns, phases_view, serve_frames, signals_view
+from phasemill.schemas import LABELS, PHASE_NAMES, PROTOCOL
 from phasemill.session import missing, table
 
 LABEL_LIST = ", ".join(f"'{x}'" for x in LABELS)
@@ -58,16 +58,32 @@ LABEL_AT = "{p}.t >= {s}.start_s AND ({p}.t < {s}.end_s OR ({s}.is_last AND abs(
 
 
 # ---- serving queries and views ----
-def _sql_query(name: str):
+FOLLOWS = "list_contains([" + ", ".join(f"'{a}>{b}'" for a, b in PROTOCOL.items()) + "], {0} || '>' || {1})"
+NAMED_SQL = {
+    "q1_avg_duration_by_event_type": "SELECT take_group, label, count(*) AS n_events, round(sum(duration_s) / count(duration_s), 3) AS avg_duration_s, round(min(duration_s), 3) AS min_duration_s, round(max(duration_s), 3) AS max_duration_s FROM ev GROUP BY ALL",
+    "q2_most_ambiguous_takes": """
+SELECT take, take_group, n_events, s AS short_events, c AS low_confidence_events, b AS ambiguous_events, round(b / n_events, 3) AS ambiguous_share, avg_confidence,
+       1 + (SELECT count(*) FROM t u WHERE u.b / u.n_events > t.b / t.n_events) AS ambiguity_rank FROM t""",
+    "q3_time_between_consecutive_reaches": """
+SELECT take, round(p, 3) AS previous_reach_start_s, round(start_s, 3) AS reach_start_s, round(start_s - p, 3) AS seconds_between_reaches
+FROM (SELECT take, start_s, lag(start_s) OVER (PARTITION BY take ORDER BY start_s, event_idx) AS p FROM ev WHERE label = 'REACH') WHERE p IS NOT NULL""",
+    "q4_phase_transitions": f"""
+SELECT take_group, label AS from_label, nxt AS to_label, count(*) AS n_transitions, CASE WHEN {FOLLOWS.format("label", "nxt")} THEN 'yes' ELSE 'no' END AS follows_protocol_order
+FROM (SELECT *, lead(label) OVER (PARTITION BY take ORDER BY event_idx) AS nxt FROM ev) WHERE nxt IS NOT NULL GROUP BY ALL""",
+}
+_PER_TAKE = "t AS (SELECT take, take_group, count(*) AS n_events, count(*) FILTER (duration_s < 0.3) AS s, count(*) FILTER (mean_confidence < 0.7) AS c, count(*) FILTER (duration_s < 0.3 OR mean_confidence < 0.7) AS b, round(avg(mean_confidence), 3) AS avg_confidence FROM ev GROUP BY ALL)"
+
+
+def _named(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return run_sql(spark, QUERIES_SQL[name], events=events(spark, d))
+        return NAMED[name](events(spark, d))
 
     run.__name__ = name
     return run
 
 
-for _name in list(QUERIES_SQL)[:4]:
-    query(f"WITH {EVENTS}, answer AS ({duckdb_sql(QUERIES_SQL[_name]).replace('FROM events', 'FROM ev')}) SELECT * FROM answer")(_sql_query(_name))
+for _name, _text in NAMED_SQL.items():
+    query(f"WITH {EVENTS}, {_PER_TAKE} {_text}")(_named(_name))
 
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
@@ -93,30 +109,29 @@ pairs AS (SELECT f.take, f.frame_idx, f.t, f.detected, p.label AS predicted_labe
 @query(f"WITH {PAIRS} SELECT take, true_label AS label, count(*) AS n_samples, round(avg(CASE WHEN predicted_label = true_label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 3) AS agreement FROM pairs WHERE detected AND true_label IS NOT NULL GROUP BY take, true_label")
 def q5_prediction_agreement_by_label(spark: SparkSession, d: str) -> DataFrame:
     samples = _samples(spark, d).select("take", "predicted_label", F.col("true_label").alias("ground_truth_label"), (~F.col("detected")).alias("missing"))
-    return run_sql(spark, QUERIES_SQL["q5_prediction_agreement_by_label"], signals=samples)
+    return NAMED["q5_prediction_agreement_by_label"](samples)
 
 
-def _view_sql(name: str, **names: str) -> str:
-    sql = duckdb_sql(VIEWS_SQL[name])
-    for a, b in names.items():
-        sql = sql.replace(f"FROM {a}", f"FROM {b}").replace(f"JOIN {a}", f"JOIN {b}")
-    return sql
+PLACE = f"list_position([{LABEL_LIST}], {{0}})"
+PHASE = "[" + ", ".join(f"'{x}'" for x in PHASE_NAMES.values()) + "][{0}]"
+TAKE = "printf('Take %s (%s)', take[4:], take_group) AS take_label"
 
 
-@query(f"WITH {EVENTS}, {TRUTH}, answer AS ({_view_sql('v_tableau_phases', events='ev', ground_truth='truth')}) SELECT * FROM answer")
+@query(f"WITH {EVENTS}, {TRUTH}, u AS (SELECT take, label, start_s, end_s, 'Detected' AS source FROM ev UNION ALL SELECT take, label, start_s, end_s, 'Hand-labelled' FROM truth), k AS (SELECT u.*, takes.take_group, CAST({PLACE.format('label')} AS INTEGER) AS phase_order FROM u JOIN takes USING (take)) SELECT take, {TAKE}, take_group, source, label, {PHASE.format('phase_order')} AS phase_name, phase_order, start_s, end_s, end_s - start_s AS duration_s FROM k")
 def v_tableau_phases(spark: SparkSession, d: str) -> DataFrame:
-    return run_sql(spark, VIEWS_SQL["v_tableau_phases"], events=events(spark, d), ground_truth=truth(spark, d), takes=table(spark, d, "takes"))
+    return phases_view(events(spark, d), truth(spark, d), table(spark, d, "takes"))
 
 
-@query(f"WITH {PAIRS}, sig AS (SELECT take, t AS t_s, t AS speed, t AS aperture, predicted_label, NOT detected AS missing FROM pairs), answer AS ({_view_sql('v_tableau_signals', signals='sig')}) SELECT take, take_label, take_group, t_s, predicted_label, phase_name, phase_order, hand_not_visible FROM answer")
+@query(f"WITH {PAIRS}, k AS (SELECT pairs.*, takes.take_group, CAST({PLACE.format('predicted_label')} AS INTEGER) AS phase_order FROM pairs JOIN takes USING (take)) SELECT take, {TAKE}, take_group, t AS t_s, predicted_label, {PHASE.format('phase_order')} AS phase_name, phase_order, NOT detected AS hand_not_visible FROM k")
 def v_tableau_signals(spark: SparkSession, d: str) -> DataFrame:
-    samples = _samples(spark, d).select("take", F.col("t").alias("t_s"), F.col("t").alias("speed"), F.col("t").alias("aperture"), "predicted_label", (~F.col("detected")).alias("missing"))
-    return run_sql(spark, VIEWS_SQL["v_tableau_signals"], signals=samples, takes=table(spark, d, "takes")).drop("speed", "aperture")
+    none = F.lit(None).cast("double")
+    samples = _samples(spark, d).select("take", F.col("t").alias("t_s"), none.alias("speed"), none.alias("aperture"), "predicted_label", (~F.col("detected")).alias("missing"))
+    return signals_view(samples, table(spark, d, "takes")).drop("speed", "aperture")
 
 
-@query(f"WITH sc0 AS (SELECT DISTINCT * FROM scores_full), answer AS ({_view_sql('v_tableau_accuracy', scores='sc0')}) SELECT * FROM answer")
+@query(f"SELECT DISTINCT take, {TAKE}, take_group, round(frame_accuracy * 100, 1) AS percent_frames_matching_human_labels FROM scores_full WHERE scope = 'all'")
 def v_tableau_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    return run_sql(spark, VIEWS_SQL["v_tableau_accuracy"], scores=table(spark, d, "scores_full").distinct())
+    return accuracy_view(table(spark, d, "scores_full").distinct()).distinct()
 
 
 # ---- pivots, islands, interval joins ----

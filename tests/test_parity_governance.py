@@ -125,7 +125,7 @@ def test_named_sql(spark):
 def test_serving_queries(spark):
     rows = [("vid1", "clean", 0, "REST", 0.0, 2.0, 2.0, 0.9), ("vid1", "clean", 1, "REACH", 2.0, 2.25, 0.25, 0.6), ("vid1", "clean", 2, "HOLD", 2.25, 4.0, 1.75, 0.8), ("vid1", "clean", 3, "REACH", 4.0, 5.0, 1.0, None), ("vid2", "fast", 0, "REST", 0.0, 1.0, 1.0, 0.95)]
     ev = spark.createDataFrame(rows, "take string, take_group string, event_idx long, label string, start_s double, end_s double, duration_s double, mean_confidence double")
-    run = lambda n: serving.run_sql(spark, serving.QUERIES_SQL[n], events=ev).collect()
+    run = lambda n: serving.NAMED[n](ev).collect()
     q1 = {(r["take_group"], r["label"]): r["avg_duration_s"] for r in run("q1_avg_duration_by_event_type")}
     assert q1["clean", "REACH"] == 0.625
     q2 = {r["take"]: (r["ambiguous_events"], r["ambiguous_share"], r["ambiguity_rank"]) for r in run("q2_most_ambiguous_takes")}
@@ -133,8 +133,10 @@ def test_serving_queries(spark):
     assert [r["seconds_between_reaches"] for r in run("q3_time_between_consecutive_reaches")] == [2.0]
     q4 = {(r["from_label"], r["to_label"]): r["follows_protocol_order"] for r in run("q4_phase_transitions")}
     assert q4 == {("REST", "REACH"): "yes", ("REACH", "HOLD"): "no", ("HOLD", "REACH"): "no"}
-    same = serving.same_answers("q1", serving.run_sql(spark, serving.QUERIES_SQL["q1_avg_duration_by_event_type"], events=ev), serving.run_sql(spark, serving.QUERIES_SQL["q1_avg_duration_by_event_type"], events=ev.withColumn("duration_s", F.col("duration_s") + 0.01)))
-    assert same.first()["status"] == "FAIL"
+    q = serving.NAMED["q1_avg_duration_by_event_type"]
+    assert serving.same_answers("q1", q(ev), q(ev.repartition(3))).first()["status"] == "PASS"
+    assert serving.same_answers("q1", q(ev), q(ev.withColumn("duration_s", F.col("duration_s") + 0.01))).first()["status"] == "FAIL"
+    assert serving.run_sql(spark, "SELECT count(*) AS n FROM events JOIN events USING (take, event_idx)", events=ev).first()["n"] == 5
     report = V.score_report(spark.createDataFrame([("clean", "vid1", "all", 1.0, 0.5, None, 0.9, 0.8, 0.95)], "take_group string, take string, scope string, recall double, precision double, mae_matched_s double, frame_accuracy double, balanced_accuracy double, tolerant_accuracy double"))
     assert "| vid1 | 1.000 | 0.500 | - |" in report
 
