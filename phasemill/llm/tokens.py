@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -17,7 +19,12 @@ from pyspark.sql import types as T
 TOKENIZERS = os.environ.get("PHASEMILL_TOKENIZERS", "/opt/tokenizers")
 # Fixed value: the public pattern by which byte_bpe_50k and byte_bpe_multi_50k split text before any merge.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHED_PIECES, CACHED_PAIRS, CACHED_LENGTH = 400_000, 1_000_000, 48
+# Bounds of what a worker keeps: pieces, pairs and lines, and how long a piece or line may be to be kept.
+CACHED_PIECES, CACHED_PAIRS, CACHED_LENGTH = 300_000, 1_000_000, 64
+CACHED_LINES, CACHED_LINE_LENGTH = 50_000, 800
+# The pattern always cuts between a line end behind a visible character and a visible character, and such
+# a cut changes no other: lines so parted can be encoded apart, and they recur in revisions of a page.
+LINE_CUT = re.compile(r"(?<=\S\n)(?=\S)")
 FLUSH_IDS = 4_000_000
 
 
@@ -38,12 +45,13 @@ class PrefixBPE:
         self.left = list(range(self.size))
         self.right = list(range(self.size))
         self.merged: dict[tuple[int, int], int] = {}
-        self.longest = 1
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._pieces = _Pieces(self.piece)
+        self._lines: dict[str, array] = {}
+        lengths: dict[bytes, set[int]] = {}
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             self.length[rank] = len(token)
-            self.longest = max(self.longest, len(token))
+            lengths.setdefault(token[-3:], set()).add(len(token))
             if len(token) == 1:
                 continue
             # the two tokens that this one's bytes consist of before its own merge
@@ -53,6 +61,8 @@ class PrefixBPE:
                     self.left[rank], self.right[rank] = a, b
                     self.merged[a, b] = rank
                     break
+        # the lengths, longest first, of the tokens that end in these (up to three) bytes
+        self.lengths = {k: tuple(sorted(set().union(*(lengths.get(k[-j:], ()) for j in range(1, len(k) + 1))), reverse=True)) for k in lengths}
 
     def _apart(self, a: int, b: int) -> bool:
         """Whether the merges leave token ``a`` followed by token ``b`` as these two tokens."""
@@ -82,11 +92,15 @@ class PrefixBPE:
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """Continue ``last``, the last tokens of the prefixes of ``data`` so far, to its end, in place."""
-        ranks, longest, follows = self.ranks, self.longest, self.follows
+        ranks, lengths, follows = self.ranks, self.lengths, self.follows
         for end in range(len(last) + 1, len(data) + 1):
-            for begin in range(max(0, end - longest), end):
+            tail = data[max(0, end - 3) : end]
+            for n in lengths.get(tail) or lengths.get(tail[-2:]) or lengths[tail[-1:]]:
+                begin = end - n
+                if begin < 0:
+                    continue
                 token = ranks.get(data[begin:end])
-                if token is not None and (begin == 0 and self._whole(token) or begin and follows(last[begin - 1], token)):
+                if token is not None and (self._whole(token) if begin == 0 else follows(last[begin - 1], token)):
                     last.append(token)
                     break
             else:
@@ -110,16 +124,19 @@ class PrefixBPE:
         data = text.encode()
         whole = self.ranks.get(data)
         ids = (whole,) if whole is not None and self._whole(whole) else tuple(self.walk(self.extend(data, [])))
-        if len(text) <= CACHED_LENGTH:
-            if len(self._pieces) >= CACHED_PIECES:
-                self._pieces.clear()
-            self._pieces[text] = ids
         return ids
 
     def encode_into(self, text: str, out: array) -> None:
-        get, piece = self._pieces.get, self.piece
-        for p in self.split(text):
-            out.extend(get(p) or piece(p))
+        lines, piece = self._lines, self._pieces.__getitem__
+        for line in LINE_CUT.split(text):
+            ids = lines.get(line)
+            if ids is None:
+                ids = array("i", chain.from_iterable(map(piece, self.split(line))))
+                if len(line) <= CACHED_LINE_LENGTH:
+                    if len(lines) >= CACHED_LINES:
+                        lines.clear()
+                    lines[line] = ids
+            out.extend(ids)
 
     def encode(self, text: str) -> list[int]:
         out = array("i")
@@ -127,6 +144,22 @@ class PrefixBPE:
         return out.tolist()
 
 
+class _Pieces(dict):
+    """Ids by piece; missing ones are made, and kept if short, until there are too many."""
+
+    def __init__(self, make):
+        super().__init__()
+        self._make = make
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        ids = self._make(text)
+        if len(text) <= CACHED_LENGTH:
+            if len(self) >= CACHED_PIECES:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class EditableEncoding:
     """A text with the last token of every prefix of its pieces, for exact appends and edits."""
 
