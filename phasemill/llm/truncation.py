@@ -9,10 +9,11 @@ from phasemill.session import materialize
 
 # White space and invisible characters that may trail a text.
 TRAILING = " \t\n\r\x0b\x0c      ​‌‍   　﻿"
-# What ends a sentence, and what may stand behind that.
+# What ends a sentence, what may stand behind that, and an ellipsis that ends a text.
 SENTENCE_END = r"[.!?。！？؟।]"
 BEHIND_END = r"[\"'»”’」』)\]]*"
 ELLIPSIS = r"(\.\.\.|…)$"
+COMPLETE_BEFORE_ELLIPSIS = r"[!?。！？]\s*(\.\.\.|…)$|\.\s*…$|\.\s+\.\.\.$|\.{4}$"
 
 PROSE, LIST, ROW, HEADING, BRACKET, EMPTY = "prose", "list", "row", "heading", "bracket", "empty"
 
@@ -47,7 +48,7 @@ def inspect_ending(c: Column) -> dict[str, Column]:
     could be missing because of a cut or of broken markup.
     """
     text = F.rtrim(c, F.lit(TRAILING))
-    line = F.rtrim(F.substring_index(text, "\n", -1), F.lit(TRAILING))
+    line = F.trim(F.substring_index(text, "\n", -1), F.lit(TRAILING))
     opens, closes = _count(line, "["), _count(line, "]")
     braces = _count(line, "{") - _count(line, "}")
     has = lambda r: line.rlike(r)
@@ -67,17 +68,17 @@ def inspect_ending(c: Column) -> dict[str, Column]:
     ended = bare.rlike(SENTENCE_END + BEHIND_END + "$") | (F.rtrim(bare) == "")
     inside_ref = has(r"(?i)<ref[^<>/]*>[^<]{0,200}$") & (~ended | has(r"p+\. \p{N}+\.$"))
     letter = has(r"[\p{L}\p{N}]$")
-    item_open = (F.locate("[", F.substring_index(line, "]", -1)) > 0) | (F.locate("(", F.substring_index(line, ")", -1)) > 0) | (braces > 0)
+    item_open = (F.locate("[[", F.substring_index(line, "]", -1)) > 0) | has(r"\[$") | (F.locate("(", F.substring_index(line, ")", -1)) > 0) | (braces > 0)
     by_form = (
         F.when(form == EMPTY, "whole")
         .when(form == LIST, F.when(item_open | inside_ref, "cut").when(has(r"^[*#:;]+\s*$"), "cut").when(letter | has(r"[^\]]\]$"), "unsure").otherwise("whole"))
         .when(form == ROW, F.when(has(r"\]\]$") & ~has(r"^!"), "unsure").when(ended & ~has(r"\p{N}\.$"), "whole").otherwise("cut"))
         .when(form == HEADING, F.when(has(r"^(=+)[^=].*[^=]\1$") | ended, "whole").otherwise("cut"))
-        .when((form == BRACKET) & has(r"^\{"), F.when(has(r"\}$") & (braces <= 0), "whole").when(has(r"\}$"), "unsure").otherwise("cut"))
+        .when((form == BRACKET) & has(r"^\{"), F.when(has(r"\}$") & (braces <= 0) | ended, "whole").when(has(r"\}$"), "unsure").otherwise("cut"))
         .when(form == BRACKET, F.when(has(r"\]\]$") | ended & (closes > 0), "whole").when(has(r"\]$") & (opens > closes), "unsure").otherwise("cut"))
         .otherwise(F.when(inside_ref, "cut").when(ended, "whole").when(letter & (braces <= 0) & (opens <= closes), "unsure").otherwise("cut"))
     )
-    ending = F.when(has(ELLIPSIS), "cut").when(has("�$"), "cut").otherwise(by_form)
+    ending = F.when(has(ELLIPSIS), F.when(has(COMPLETE_BEFORE_ELLIPSIS), "whole").otherwise("cut")).when(has("�$"), "cut").otherwise(by_form)
     return {"line": line, "form": form, "ending": ending}
 
 

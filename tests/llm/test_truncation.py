@@ -13,10 +13,10 @@ SCHEMA = "doc_id long, text string, source string, page_id long, line string, fo
 WHOLE = [
     "It stands here.", "Who built it?", "It was so! \n\n", "彼は来た。", 'He called it "the least".', "One.<ref>A, ''B'', p. 3.</ref>", "One.{{citation needed|date=May 1}}", "One. {{lang|xx|{{{1}}}}}",
     "One.\n* Alpha\n* [[Beta]] (1801)", "#REDIRECT [[Alpha]]", "#REDIRECT [[Alpha]", "One.\n[[Category:Hill]]", "One.\n[[Category:Hill]", "One.\n{{stub}}", "One.\n{stub}}", "{| class=x\n| a\n|}", "{{Infobox\n| a = 3\n}}",
-    "== See also ==", "One.\n<nowiki>{{unfinished</nowiki>", "[[Category:Hill]] It stands here.", "One.​﻿", "hahaha!!!",
+    "== See also ==", "One.\n<nowiki>{{unfinished</nowiki>", "[[Category:Hill]] It stands here.", "One.​﻿", "hahaha!!!", "haha!...", "\ufeff#REDIRECT [[Alpha]]", "One.\n* [[Beta]] \x07\x1b[0m.", "{{#if:{{{pop|}}}|{{{pop}}}.",
 ]
 CUT = [
-    "It stands he", "It was rebuilt in 1", "One. It has 3 islands, of whic…", "One. It has 3 isl...", "彼は来", "One.<ref>A, ''B", "One.<ref>A, ''B'', p. 3.", "One.\n* [[Be", "One.\n* [[Beta]] (18", "#REDIRECT [[Alp", "One.\n[[Cat", "One.\n{{stu",
+    "It stands he", "It was rebuilt in 1", "One. It has 3 islands, of whic…", "One. It has 3 isl...", "One. It has 3 islands ...", "One.\n* [", "彼は来", "One.<ref>A, ''B", "One.<ref>A, ''B'', p. 3.", "One.\n* [[Be", "One.\n* [[Beta]] (18", "#REDIRECT [[Alp", "One.\n[[Cat", "One.\n{{stu",
     "{| class=x\n| a || 3", "{{Infobox\n| na", "== See al", "It stands her�", "One. He said,", "One.\n{{#if:{{{",
 ]
 
