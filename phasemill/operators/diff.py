@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phasemill.session import known
+from phasemill.session import known, materialize
 
 SOURCE, COPY = "s", "c"
 
@@ -37,37 +37,41 @@ def copy_differences(source: DataFrame, copy: DataFrame, key: Sequence[str], blo
     kind is ``missing_in_copy`` or ``missing_in_source`` (field ``*``) or ``differs``. Doubles differ
     by more than ``tolerance``, strings are compared without outer blanks, NULL and NaN are equal
     and differ from any value, NULL keys equal NULL keys. Rows repeated exactly (``ignore`` aside)
-    count once; of several rows of one key the least by its fields counts. Only columns that both
+    count once; of several rows of one key that of the least fingerprint counts. Only columns that both
     copies have are compared. Empty copies are allowed: all rows of the other side are missing.
     """
     types = {f.name: f.dataType for f in source.schema.fields}
     fields = [n for n in source.columns if n in copy.columns and n not in key and n not in ignore]
+    ks, vs = [f"k{i}" for i in range(len(key))], [f"v{i}" for i in range(len(fields))]
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(key)], F.pmod(F.xxhash64(block), F.lit(shards)).alias("shard"), *[_plain(types[n], F.col(n)).alias(f"v{i}") for i, n in enumerate(fields)])
-        rows = rows.withColumn("row", F.struct(F.lit(1).alias("here"), *[f"v{i}" for i in range(len(fields))])).groupBy("shard", *[f"k{i}" for i in range(len(key))]).agg(F.min("row").alias("row"))
-        # what fingerprints see: rounding within a tenth of the tolerance, so that copies of other precision still match
-        seen = [F.round(F.col(f"row.v{i}"), 7) + F.lit(0.0) if isinstance(types[n], (T.DoubleType, T.FloatType)) and tolerance >= 1e-6 else F.col(f"row.v{i}") for i, n in enumerate(fields)]
-        nulls = F.concat(*[F.when(F.col(f"row.v{i}").isNull(), "0").otherwise("1") for i in range(len(fields))]) if fields else F.lit("")
-        ks = [f"k{i}" for i in range(len(key))]
-        key_hash = F.xxhash64(*ks)
-        w = Window.partitionBy("shard").orderBy(*ks)
-        rolled = reduce(lambda a, b: a.bitwiseXOR(b), [F.shiftrightunsigned(F.coalesce(F.lag("kh", j).over(w), F.lit(0).cast("long")), 11 * j) for j in (1, 2, 3)], F.col("kh"))
-        rows = rows.withColumns({"kh": key_hash, "f1": F.xxhash64(F.lit(1), *ks, nulls, *seen), "f2": F.xxhash64(F.lit(2), *ks, nulls, *seen)})
-        rows = rows.withColumn("cut", F.when(rolled.bitwiseAND((1 << mean_chunk_bits) - 1) == 0, 1).otherwise(0))
-        # the row with the cut ends its chunk
-        return rows.withColumn("chunk", F.coalesce(F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("side", F.lit(tag))
-
-    def prints(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("shard", "chunk").agg(F.bit_xor("f1").alias("p1"), F.bit_xor("f2").alias("p2"), F.count(F.lit(1)).alias("rows"))
-
-    def unmatched(rows: DataFrame, mine: DataFrame, other: DataFrame) -> DataFrame:
-        lone = mine.join(other.drop("chunk"), ["shard", "p1", "p2", "rows"], "left_anti").select("shard", "chunk")
-        return rows.join(lone, ["shard", "chunk"], "left_semi").select(*[f"k{i}" for i in range(len(key))], "row")
-
-    left, right = side(source, SOURCE), side(copy, COPY)
-    pl, pr = prints(left), prints(right)
-    a, b = unmatched(left, pl, pr), unmatched(right, pr, pl)
+        spread = F.pmod(F.xxhash64(block), F.lit(shards)).alias("shard")
+        return df.select(spread, F.lit(tag).alias("side"), *[F.col(k).alias(c) for c, k in zip(ks, key, strict=True)], *[_plain(types[n], F.col(n)).alias(v) for v, n in zip(vs, fields, strict=True)])
+
+    # the one shuffle of whole rows; what follows up to the written table runs inside its partitions
+    rows = side(source, SOURCE).unionByName(side(copy, COPY)).repartition("shard")
+    rows = rows.groupBy("shard", "side", *ks, *vs).agg(F.lit(1).alias("one")).drop("one")
+    # what fingerprints see: rounding within a tenth of the tolerance, so that copies of other precision still match
+    seen = [F.round(F.col(v), 7) + F.lit(0.0) if isinstance(types[n], (T.DoubleType, T.FloatType)) and tolerance >= 1e-6 else F.col(v) for v, n in zip(vs, fields, strict=True)]
+    nulls = F.concat(*[F.when(F.col(v).isNull(), "0").otherwise("1") for v in vs]) if fields else F.lit("")
+    rows = rows.withColumns({"kh": F.xxhash64(*ks), "f1": F.xxhash64(F.lit(1), *ks, nulls, *seen), "f2": F.xxhash64(F.lit(2), *ks, nulls, *seen)})
+    w = Window.partitionBy("shard", "side").orderBy(*ks, "f1", "f2")
+    again = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.lag(k).over(w)) for k in ks]) & (F.row_number().over(w) > 1)
+    rows = rows.withColumn("again", again).filter(~F.col("again")).drop("again")
+    rolled = reduce(lambda x, y: x.bitwiseXOR(y), [F.shiftrightunsigned(F.coalesce(F.lag("kh", j).over(w), F.lit(0).cast("long")), 11 * j) for j in (1, 2, 3)], F.col("kh"))
+    rows = rows.withColumn("cut", F.when(rolled.bitwiseAND((1 << mean_chunk_bits) - 1) == 0, 1).otherwise(0))
+    # the row with the cut ends its chunk
+    rows = rows.withColumn("chunk", F.coalesce(F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = materialize(rows.select("shard", "side", "chunk", *ks, *vs, "f1", "f2"), "diff")
+    prints = rows.groupBy("shard", "side", "chunk").agg(F.bit_xor("f1").alias("p1"), F.bit_xor("f2").alias("p2"), F.count(F.lit(1)).alias("n"))
+
+    def unmatched(mine: str, other: str) -> DataFrame:
+        known = prints.filter(F.col("side") == other).select("shard", "p1", "p2", "n")
+        lone = prints.filter(F.col("side") == mine).join(known, ["shard", "p1", "p2", "n"], "left_anti").select("shard", "chunk")
+        own = rows.filter(F.col("side") == mine).join(lone, ["shard", "chunk"], "left_semi")
+        return own.select(*ks, F.struct(F.lit(1).alias("here"), *vs).alias("row"))
+
+    a, b = unmatched(SOURCE, COPY), unmatched(COPY, SOURCE)
     a = a.select(*[F.col(f"k{i}").alias(f"a{i}") for i in range(len(key))], F.col("row").alias("ra"))
     b = b.select(*[F.col(f"k{i}").alias(f"b{i}") for i in range(len(key))], F.col("row").alias("rb"))
     pairs = a.join(b, [F.col(f"a{i}").eqNullSafe(F.col(f"b{i}")) for i in range(len(key))], "full")
