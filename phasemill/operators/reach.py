@@ -38,3 +38,14 @@ def bounded_reach(df: DataFrame, entity: Sequence[str], shard: str, order: Seque
     """The union of :func:`edge_split`'s two parts."""
     inner, edge = edge_split(df, entity, shard, order, reach, compute)
     return inner.unionByName(edge)
+
+
+def running_sum(df: DataFrame, entity: Sequence[str], shard: str, order: Sequence, value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` over the entity's rows up to each one, by sums within shards and over whole shards before.
+
+    Entities must not be NULL. ``order`` is a total order in which shards follow each other.
+    """
+    inside = F.sum(value).over(Window.partitionBy(*entity, shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    before = F.sum("__whole").over(Window.partitionBy(*entity).orderBy(shard).rowsBetween(Window.unboundedPreceding, -1))
+    shards = df.groupBy(*entity, shard).agg(F.sum(value).alias("__whole")).withColumn("__before", F.coalesce(before, F.lit(0))).drop("__whole")
+    return df.withColumn("__inside", inside).join(shards, [*entity, shard]).withColumn(name, F.col("__inside") + F.col("__before")).drop("__inside", "__before")

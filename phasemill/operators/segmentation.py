@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasemill.operators.reach import bounded_reach
+from phasemill.operators.reach import bounded_reach, running_sum
 from phasemill.operators.relational import SHARD, absorb_short_runs, islands, row_argmax
 from phasemill.schemas import LABELS, PROTOCOL, RuleParams
+from phasemill.session import materialize
 
 CHUNK, HALO = 1 << 16, 1 << 10
 
@@ -110,9 +111,9 @@ def changepoints(df: DataFrame, order: str, columns: Sequence[str], penalty: flo
         out[pelt(g[list(columns)].to_numpy(float), penalty, min_size)] = 1
         return out
 
-    w = Window.partitionBy("take").orderBy(order)
-    marked = by_chunk(df, order, columns, starts)
-    return df.join(marked, ["take", order]).withColumn("segment", F.sum("out").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("out")
+    marked = materialize(by_chunk(df, order, columns, starts), "changepoints")  # the kernel runs once, not once per pass below
+    numbered = running_sum(marked.withColumn(SHARD, F.floor(F.col(order) / CHUNK)), ["take"], SHARD, [order], "out", "segment")
+    return df.join(numbered.select("take", order, "segment"), ["take", order])
 
 
 def scaled_channels(signals: DataFrame, r: RuleParams) -> DataFrame:
