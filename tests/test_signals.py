@@ -149,6 +149,9 @@ def test_features_have_no_null(spark):
     assert len(S.feature_names()) == 61 and not feats.isna().any().any() and 19 <= feats["missing"].sum() <= 21
     v = feats["speed"].to_numpy()
     assert np.allclose(feats["speed_m45"].to_numpy(), [v[max(0, i - 45) : i + 46].mean() for i in range(len(v))])
+    for n in (3, 8, 20):
+        assert np.allclose(feats[f"speed_m{n}"].to_numpy(), [v[max(0, i - n) : i + n + 1].mean() for i in range(len(v))], atol=1e-11)
+    assert np.allclose(feats["speed_trend45"].to_numpy(), [v[i : i + 45].mean() - v[max(0, i - 44) : i + 1].mean() for i in range(len(v))], atol=1e-11)
     assert np.allclose(feats["speed_trend5"].to_numpy(), [v[i : i + 5].mean() - v[max(0, i - 4) : i + 1].mean() for i in range(len(v))])
 
 
