@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -44,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="phasemill-")
+        own = tempfile.mkdtemp(prefix="phasemill-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        named = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
