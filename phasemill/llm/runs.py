@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phasemill.session import materialize
+
 
 def bigram_dice(a: str, b: str) -> float:
     """Dice coefficient of the two labels' sets of character pairs; 1 for equal labels."""
@@ -159,7 +161,8 @@ def collapse_runs(df: DataFrame, entity: dict[str, Column], label: Column, start
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", idx bigint, prefix boolean, last boolean"
     rows = rows.select(*columns).repartition(*keys, "shard").sortWithinPartitions(*keys, "shard", "start", "end", "label")
-    local = rows.mapInArrow(_by_group([*keys, "shard"], min_similarity, max_gap), schema)
+    # written: three passes below read the runs, and none should merge them again
+    local = materialize(rows.mapInArrow(_by_group([*keys, "shard"], min_similarity, max_gap), schema), "runs")
     # how far the events of all earlier shards of an entity reach
     per = local.groupBy(*keys, "shard").agg(F.max("end").alias("reach"))
     w = Window.partitionBy(*keys).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
