@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import itertools
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,54 +18,110 @@ from phasemill.session import materialize
 CHUNK, HALO = 1 << 16, 1 << 10
 
 
-def pelt(x: np.ndarray, penalty: float, min_size: int = 3) -> list[int]:
-    """Internal changepoints of least total squared deviation plus ``penalty`` per segment.
+class Pelt:
+    """Internal changepoints of least total squared deviation plus ``penalty`` per segment, of samples fed in pieces.
 
     Exact dynamic programming with pruning: a last changepoint that even without a penalty costs
     more than the optimum at t can't be best again, once a segment of ``min_size`` fits behind t.
+    Kept are the running sums at the candidates and the last samples, and one number per sample.
+    """
+
+    def __init__(self, penalty: float, min_size: int = 3) -> None:
+        self.penalty, self.min_size, self.n, self.back = penalty, min_size, 0, []
+        self.cand, self.doomed = np.array([0]), np.array([np.iinfo(np.int64).max])  # from when on each candidate is out
+
+    def push(self, x: np.ndarray) -> None:
+        x = np.asarray(x, float).reshape(len(x), -1 if len(x) else 1)
+        if not len(x):
+            return
+        if self.n == 0:
+            self.s1, self.s2, self.best = np.zeros((1, x.shape[1])), np.zeros(1), np.array([-self.penalty])  # of the last min_size samples
+            self.c1, self.c2, self.cb = self.s1, self.s2, self.best  # of the candidates
+        n, size, never = self.n, self.min_size, np.iinfo(np.int64).max
+        first = n + 1 - len(self.s2)
+        s1 = np.vstack([self.s1, np.cumsum(np.vstack([self.s1[-1:], x]), 0)[1:]])
+        s2 = np.concatenate([self.s2, np.cumsum(np.concatenate([self.s2[-1:], (x * x).sum(1)]))[1:]])
+        best, back = np.concatenate([self.best, np.full(len(x), np.inf)]), np.zeros(len(x), np.int64)
+        cand, doomed, c1, c2, cb = self.cand, self.doomed, self.c1, self.c2, self.cb
+        for t in range(max(n + 1, size), n + len(x) + 1):
+            at = t - first
+            cost = cb + (s2[at] - c2) - ((s1[at] - c1) ** 2).sum(1) / (t - cand)
+            i = int(np.argmin(cost))
+            best[at], back[t - n - 1] = cost[i] + self.penalty, cand[i]
+            doomed = np.where((cost > best[at]) & (doomed == never), t + size, doomed)
+            keep = doomed > t + 1
+            if not keep.all():
+                cand, doomed, c1, c2, cb = cand[keep], doomed[keep], c1[keep], c2[keep], cb[keep]
+            new = t + 1 - size
+            if new >= size:
+                at = new - first
+                cand, doomed = np.append(cand, new), np.append(doomed, never)
+                c1, c2, cb = np.concatenate([c1, s1[at : at + 1]]), np.append(c2, s2[at]), np.append(cb, best[at])
+        self.cand, self.doomed, self.c1, self.c2, self.cb = cand, doomed, c1, c2, cb
+        self.s1, self.s2, self.best = s1[-size:].copy(), s2[-size:].copy(), best[-size:].copy()
+        self.back.append(back)
+        self.n += len(x)
+
+    def changepoints(self) -> list[int]:
+        if self.n < 2 * self.min_size:
+            return []
+        back, out, t = np.concatenate(self.back), [], self.n
+        while back[t - 1] > 0:
+            t = int(back[t - 1])
+            out.append(t)
+        return out[::-1]
+
+    def result(self) -> np.ndarray:
+        """1 for samples that start a segment, the first one's aside."""
+        out = np.zeros(self.n, np.int64)
+        out[self.changepoints()] = 1
+        return out
+
+
+def pelt(x: np.ndarray, penalty: float, min_size: int = 3) -> list[int]:
+    """:class:`Pelt` of samples at hand."""
+    state = Pelt(penalty, min_size)
+    state.push(x)
+    return state.changepoints()
+
+
+class Viterbi:
+    """Best path through log probabilities (samples x labels) fed in pieces: no cost to stay, ``following`` to the next phase of the protocol, else ``other``.
+
+    Kept are the scores of the last sample and six bytes per sample.
     """
-    n = len(x)
-    x = np.asarray(x, float).reshape(n, -1 if n else 1)
-    if n < 2 * min_size:
-        return []
-    s1 = np.vstack([np.zeros(x.shape[1]), np.cumsum(x, 0)])
-    s2 = np.concatenate([[0.0], np.cumsum((x * x).sum(1))])
-    best, back = np.full(n + 1, np.inf), np.zeros(n + 1, np.int64)
-    best[0] = -penalty
-    cand, doomed = np.array([0]), np.array([n + 1])  # from when on each candidate is out
-    for t in range(min_size, n + 1):
-        cost = best[cand] + (s2[t] - s2[cand]) - ((s1[t] - s1[cand]) ** 2).sum(1) / (t - cand)
-        i = int(np.argmin(cost))
-        best[t], back[t] = cost[i] + penalty, cand[i]
-        doomed = np.where((cost > best[t]) & (doomed > n), t + min_size, doomed)
-        keep = doomed > t + 1
-        new = t + 1 - min_size
-        cand, doomed = cand[keep], doomed[keep]
-        if new >= min_size:
-            cand, doomed = np.append(cand, new), np.append(doomed, n + 1)
-    out, t = [], n
-    while back[t] > 0:
-        t = int(back[t])
-        out.append(t)
-    return out[::-1]
+
+    def __init__(self, stay: float = 0.0, following: float = 4.0, other: float = 12.0) -> None:
+        k = len(LABELS)
+        self.move, self.score, self.back = np.full((k, k), -float(other)), None, []
+        for i, a in enumerate(LABELS):
+            self.move[i, i], self.move[i, LABELS.index(PROTOCOL[a])] = -stay, -float(following)
+
+    def push(self, logp: np.ndarray) -> None:
+        back, every = np.zeros(logp.shape, np.int8), np.arange(len(LABELS))
+        for t in range(len(logp)):
+            if self.score is None:
+                self.score = logp[0].copy()
+                continue
+            arrive = self.score[:, None] + self.move
+            back[t] = arrive.argmax(0)
+            self.score = arrive[back[t], every] + logp[t]
+        self.back.append(back)
+
+    def result(self) -> np.ndarray:
+        back = np.concatenate(self.back)
+        path = np.empty(len(back), np.int8)
+        path[-1] = self.score.argmax()
+        for t in range(len(back) - 1, 0, -1):
+            path[t - 1] = back[t, path[t]]
+        return path
 
 
 def viterbi(logp: np.ndarray, stay: float = 0.0, following: float = 4.0, other: float = 12.0) -> np.ndarray:
-    """Best path through ``logp`` (samples x labels): no cost to stay, ``following`` to the next phase of the protocol, else ``other``."""
-    k = len(LABELS)
-    move = np.full((k, k), -float(other))
-    for i, a in enumerate(LABELS):
-        move[i, i], move[i, LABELS.index(PROTOCOL[a])] = -stay, -float(following)
-    score, back = logp[0].copy(), np.zeros(logp.shape, np.int8)
-    for t in range(1, len(logp)):
-        arrive = score[:, None] + move
-        back[t] = arrive.argmax(0)
-        score = arrive[back[t], np.arange(k)] + logp[t]
-    path = np.empty(len(logp), np.int8)
-    path[-1] = score.argmax()
-    for t in range(len(logp) - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
+    """:class:`Viterbi` of samples at hand."""
+    state = Viterbi(stay, following, other)
+    state.push(logp)
+    return state.result()
 
 
 def rule_label(speed: float, p: float, dp: float, aperture: float, d_ap: float, previous: str | None, r: RuleParams) -> str:
@@ -86,6 +143,7 @@ def rule_label(speed: float, p: float, dp: float, aperture: float, d_ap: float,
 def by_chunk(df: DataFrame, order: str, columns: Sequence[str], kernel: Callable[[pd.DataFrame], np.ndarray], chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
     """``(take, order, out)`` with ``out`` one integer per row from a sequential ``kernel``.
 
+    For kernels whose reach is bounded only; PELT and Viterbi, whose isn't, go through :func:`by_take`.
     A take of up to ``chunk`` samples is one call and so exact. A longer one is cut into chunks that
     are given ``halo`` samples of their neighbours on both sides, whose results are dropped; so no
     call sees more than ``chunk + 2 * halo`` rows, and a decision there depends on at least ``halo``
@@ -103,15 +161,44 @@ def by_chunk(df: DataFrame, order: str, columns: Sequence[str], kernel: Callable
     return rows.groupBy("take", "__chunk").applyInPandas(run, f"take string, {order} long, out long")
 
 
-def changepoints(df: DataFrame, order: str, columns: Sequence[str], penalty: float, min_size: int = 3) -> DataFrame:
-    """Adds to each sample ``segment``, the number of its segment within the take, by :func:`pelt`."""
+def by_take(df: DataFrame, order: str, columns: Sequence[str], start: Callable[[], Pelt | Viterbi], prepare: Callable[[np.ndarray], np.ndarray] = np.asarray) -> DataFrame:
+    """``(take, order, out)`` with ``out`` one integer per row from the sequential state ``start`` makes for each take.
+
+    A take is one pass over its sorted rows at every size, so results don't depend on where it is cut:
+    the sort spills, and the state goes from batch to batch. What a task holds of a take is its order
+    and back pointers, under 20 bytes a sample. Rows of a NULL take are left out.
+    """
+    rows = df.filter(F.col("take").isNotNull()).select("take", order, *columns).repartition("take").sortWithinPartitions("take", order)
+
+    def ended(take: str, at: list[np.ndarray], state: Pelt | Viterbi) -> Iterator[pd.DataFrame]:
+        whole, out = np.concatenate(at), np.asarray(state.result(), np.int64)
+        for i in range(0, len(whole), CHUNK):
+            yield pd.DataFrame({"take": take, order: whole[i : i + CHUNK], "out": out[i : i + CHUNK]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        take, at, state = None, [], None
+        for b in batches:
+            who = b["take"].to_numpy()
+            edges = [0, *(np.flatnonzero(who[1:] != who[:-1]) + 1), len(b)]
+            index, values = b[order].to_numpy(np.int64), b[list(columns)].to_numpy(float)
+            for i, j in itertools.pairwise(edges):
+                if i == j:
+                    continue
+                if state is None or who[i] != take:
+                    if state is not None:
+                        yield from ended(take, at, state)
+                    take, at, state = who[i], [], start()
+                at.append(index[i:j])
+                state.push(prepare(values[i:j]))
+        if state is not None:
+            yield from ended(take, at, state)
+
+    return rows.mapInPandas(run, f"take string, {order} long, out long")
 
-    def starts(g: pd.DataFrame) -> np.ndarray:
-        out = np.zeros(len(g), np.int64)
-        out[pelt(g[list(columns)].to_numpy(float), penalty, min_size)] = 1
-        return out
 
-    marked = materialize(by_chunk(df, order, columns, starts), "changepoints")  # the kernel runs once, not once per pass below
+def changepoints(df: DataFrame, order: str, columns: Sequence[str], penalty: float, min_size: int = 3) -> DataFrame:
+    """Adds to each sample ``segment``, the number of its segment within the take, by :func:`pelt`."""
+    marked = materialize(by_take(df, order, columns, lambda: Pelt(penalty, min_size)), "changepoints")  # the kernel runs once, not once per pass below
     numbered = running_sum(marked.withColumn(SHARD, F.floor(F.col(order) / CHUNK)), ["take"], SHARD, [order], "out", "segment")
     return df.join(numbered.select("take", order, "segment"), ["take", order])
 
@@ -197,5 +284,5 @@ def decode_grammar(post: DataFrame, ends: DataFrame, following: float = 4.0, oth
     """Viterbi path over the log of the 3-smoothed posteriors, clipped at 1e-4."""
     cols = [f"p_{x}" for x in LABELS]
     s = smoothed_posteriors(post, 3)
-    path = by_chunk(s, "sample_idx", cols, lambda g: viterbi(np.log(np.clip(g[cols].to_numpy(float), 1e-4, None)), 0.0, following, other))
+    path = by_take(s, "sample_idx", cols, lambda: Viterbi(0.0, following, other), lambda p: np.log(np.clip(p, 1e-4, None)))
     return events_of(s.join(path.withColumn("label", F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("out") + 1).cast("int"))).drop("out"), ["take", "sample_idx"]), ends)

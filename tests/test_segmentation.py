@@ -155,3 +155,37 @@ def test_segment_labels_in_order(spark):
     df = spark.createDataFrame(rows, "take string, segment long, mean_speed double, p_mean double, dp double, mean_aperture double, d_ap double")
     assert [r["label"] for r in G.label_segments(df, R).orderBy("segment").collect()] == ["REST", "REACH", "REACH", "HOLD"]
     assert F is not None
+
+
+def long_take(spark, v):
+    return spark.createDataFrame(pd.DataFrame({"take": "a", "sample_idx": np.arange(len(v)), "v": v}))
+
+
+def test_changepoints_of_a_long_take_are_those_of_one_call(spark):
+    # a ramp and a flat stretch, both longer than any context, over the sample number at which takes were once cut
+    v = np.concatenate([np.repeat([0.0, 1.0] * 150, 200), np.linspace(0, 9, 9_000), np.full(62_500, 0.3), np.repeat([0.0, 1.0] * 5, 40)])
+    assert len(v) > 2 * G.CHUNK
+    got = G.changepoints(long_take(spark, v), "sample_idx", ["v"], 0.5).orderBy("sample_idx").toPandas()["segment"].to_numpy()
+    want = np.zeros(len(v), int)
+    want[G.pelt(v, 0.5)] = 1
+    assert (got == want.cumsum()).all()
+
+
+def test_pelt_fed_in_pieces():
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(0, 2, (60, 2)), 7, axis=0) + rng.normal(0, 0.3, (420, 2))
+    for cuts in ([], [1, 2, 3, 4], [100, 101, 300], list(range(5, 420, 5))):
+        state = G.Pelt(1.0, 3)
+        for piece in np.split(x, cuts):
+            state.push(piece)
+        assert state.changepoints() == G.pelt(x, 1.0, 3)
+
+
+def test_grammar_of_a_long_take_remembers(spark):
+    # nothing speaks for a change in the flat stretch, which is longer than any context
+    n = G.CHUNK + 4_000
+    p = np.full((n, 6), 1 / 6)
+    p[: n - 9_000] = np.where(np.arange(6) == LABELS.index("HOLD"), 0.9, 0.02)
+    post = spark.createDataFrame(pd.DataFrame({"take": "a", "sample_idx": np.arange(n), "t": np.arange(n) / 30, **{f"p_{x}": p[:, i] for i, x in enumerate(LABELS)}}))
+    ends = spark.createDataFrame([("a", n / 30)], "take string, t_end double")
+    assert [r["label"] for r in G.decode_grammar(post, ends).orderBy("event_idx").collect()] == ["HOLD"]
