@@ -8,18 +8,19 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phasemill.schemas import LABELS
 
-SAMPLE_ROWS = 30_000
+SAMPLE_ROWS, FOLDS = 30_000, 5
 
 
 def bounded_sample(df: DataFrame, keys: Sequence[str], rows: int = SAMPLE_ROWS, seed: int = 0) -> DataFrame:
@@ -148,8 +149,33 @@ def fit(sample: pd.DataFrame, features: Sequence[str], kind: str = "logreg", lab
     return {"logreg": Logistic, "hgb": Boosting}[kind].fit(x, y)
 
 
-def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | None, Logistic | Boosting], keep: Sequence[str]) -> DataFrame:
-    """``(*keep, p_<LABEL>...)`` of every row; a take listed in ``models`` has its own model, others that under None.
+def fold_of(take: Column, folds: int = FOLDS) -> Column:
+    """The fold of a take, by hash: all its samples and copies are in one."""
+    return F.pmod(F.xxhash64(F.lit("fold"), take), F.lit(folds)).cast("int")
+
+
+def fold_models(sample: DataFrame, features: Sequence[str], kind: str, folds: int = FOLDS) -> dict[int | None, Logistic | Boosting]:
+    """A model per ``fold`` of the ``sample`` fitted without that fold, or under None one fitted on all if ``folds`` is 0.
+
+    The sample has ``take, sample_idx, label, fold`` and the features. Each model is fitted in a task
+    of its own, on at most the sample's rows; the driver gets the models only.
+    """
+    each = sample.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).filter("model != fold") if folds else sample.withColumn("model", F.lit(-1))
+
+    def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        if folds and g["label"].nunique() < 2:
+            return pd.DataFrame({"model": [], "fitted": []})
+        return pd.DataFrame({"model": [key[0]], "fitted": [pickle.dumps(fit(g.sort_values(["take", "sample_idx"]), features, kind))]})
+
+    rows = each.groupBy("model").applyInPandas(run, "model int, fitted binary").collect()
+    models: dict[int | None, Logistic | Boosting] = {r["model"] if folds else None: pickle.loads(r["fitted"]) for r in rows}
+    if len(models) < max(folds, 1):
+        raise ValueError("no labelled samples to fit on" if not folds else f"takes too few to fit without each of {folds} folds")
+    return models
+
+
+def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | int | None, Logistic | Boosting], keep: Sequence[str], by: str = "take") -> DataFrame:
+    """``(*keep, p_<LABEL>...)`` of every row; a take (or other value of ``by``) listed in ``models`` has its own model, others that under None.
 
     Models go to the workers once, as a broadcast variable (a few hundred kilobytes each).
     """
@@ -162,7 +188,7 @@ def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | N
         for b in batches:
             out = b[list(keep)].copy()
             p = np.zeros((len(b), len(LABELS)))
-            who = b["take"].where(b["take"].isin([k for k in held.value if k is not None]), None) if "take" in b else pd.Series([None] * len(b))
+            who = b[by].where(b[by].isin([k for k in held.value if k is not None]), None)
             for take in set(who):
                 rows = np.flatnonzero(who.isna() if take is None or take != take else who == take)
                 p[rows] = held.value[take if take == take else None].predict(b[list(features)].to_numpy(float)[rows])
@@ -170,7 +196,7 @@ def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | N
                 out[f"p_{x}"] = p[:, i]
             yield out
 
-    return df.select(*dict.fromkeys([*keep, *features, "take"])).mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*keep, *features, by])).mapInPandas(run, schema)
 
 
 def save(model: Logistic | Boosting, path: str | Path, **meta: object) -> str:

@@ -38,20 +38,19 @@ def take_ends(sig: DataFrame) -> DataFrame:
     return sig.groupBy("take").agg(F.max("t").alias("t_end"))
 
 
-def posteriors(features: DataFrame, labels: DataFrame, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, out_of_fold: int = 0) -> DataFrame:
-    """Class probabilities of every sample. The classifier is fitted on a sample of at most ``rows`` labelled samples; the
-    ``out_of_fold`` takes of least hash among those sampled get a model fitted without them, as takes trained on should."""
-    sample = M.bounded_sample(labelled_samples(features, labels).select("take", "sample_idx", "label", *FEATURES), ["take", "sample_idx"], rows).toPandas()
-    if sample.empty:
-        raise ValueError("no labelled samples to fit on")
-    held = sorted(set(sample["take"]))[:out_of_fold]
-    return M.with_posteriors(features, FEATURES, M.leave_one_out(sample, FEATURES, kind, held), ["take", "sample_idx", "t"])
+def posteriors(features: DataFrame, labels: DataFrame, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> DataFrame:
+    """Class probabilities of every sample. The classifier is fitted on a sample of at most ``rows`` labelled samples. With
+    ``folds``, takes are hashed into so many and each is predicted by a model fitted without its fold, as takes trained on should."""
+    fold = M.fold_of(F.col("take"), folds or 1)
+    sample = M.bounded_sample(labelled_samples(features, labels).select("take", "sample_idx", "label", *FEATURES), ["take", "sample_idx"], rows)
+    models = M.fold_models(materialize(sample.withColumn("fold", fold), "sample"), FEATURES, kind, folds)
+    return M.with_posteriors(features.withColumn("fold", fold), FEATURES, models, ["take", "sample_idx", "t"], "fold")
 
 
-def _posteriors(spark: SparkSession, d: str, kind: str = "logreg") -> tuple[DataFrame, DataFrame]:
+def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", folds: int = 0) -> tuple[DataFrame, DataFrame]:
     sig = materialize(signals(spark, d), "signals")
     feats = materialize(S.build_features(sig), "features")
-    return materialize(posteriors(feats, truth(spark, d), kind), "posteriors"), sig
+    return materialize(posteriors(feats, truth(spark, d), kind, folds=folds), "posteriors"), sig
 
 
 def motion_signals(spark: SparkSession, d: str) -> DataFrame:
@@ -96,8 +95,8 @@ def boosted_probs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pipeline_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the decoded events against the hand labels, per take and scope."""
-    post, sig = _posteriors(spark, d)
+    """Scores of the decoded events against the hand labels, per take and scope; no take is scored by a model fitted on it."""
+    post, sig = _posteriors(spark, d, folds=M.FOLDS)
     ev = materialize(G.decode_pelt(post, take_ends(sig)), "events")
     groups = table(spark, d, "takes").select("take", "take_group")
     frames = S.build_frames(table(spark, d, "raw_keypoints"))
@@ -118,17 +117,25 @@ def serving_signals(spark: SparkSession, d: str) -> DataFrame:
     return serve_signals(sig, truth(spark, d))
 
 
+PENALTIES = (0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 8.0)
+
+
 def penalty_grid(spark: SparkSession, d: str) -> DataFrame:
-    """The best changepoint penalty by the mean over takes of half boundary F1, half frame accuracy."""
-    post, sig = _posteriors(spark, d)
+    """The best changepoint penalty by the mean over takes of half boundary F1, half frame accuracy, on posteriors out of fold."""
+    post, sig = _posteriors(spark, d, folds=M.FOLDS)
     labels = materialize(truth(spark, d).join(sig.select("take").distinct(), "take", "left_semi"), "truth")
+    return M.best_setting(penalty_objectives(post, sig, labels))
+
+
+def penalty_objectives(post: DataFrame, sig: DataFrame, labels: DataFrame) -> DataFrame:
     frames = sig.select("take", F.col("sample_idx").alias("frame_idx"), "t")
     rows = None
-    for pen in (0.5, 1.0, 2.0):
+    for pen in PENALTIES:
         ev = materialize(G.decode_pelt(post, take_ends(sig), pen), "events")
-        one = objective(full_scores(frames, ev, labels)).agg(F.avg("objective").alias("objective")).withColumn("penalty", F.lit(pen))
+        # written, so that the last plan isn't that of all penalties
+        one = materialize(objective(full_scores(frames, ev, labels)).agg(F.avg("objective").alias("objective")).withColumn("penalty", F.lit(pen)), "objective")
         rows = one if rows is None else rows.unionByName(one)
-    return M.best_setting(rows)
+    return rows
 
 
 def chance_baselines(spark: SparkSession, d: str) -> DataFrame:
