@@ -238,10 +238,14 @@ def build_features(signals: DataFrame) -> DataFrame:
     return bounded_reach(full, ["take"], SHARD, ["sample_idx"], max(MEAN_WINDOWS), rolled).select("take", "sample_idx", "t", *feature_names())
 
 
+def copy_name(take: Column, factor: Column) -> Column:
+    return F.concat_ws("x", take, factor)
+
+
 def time_scaled(frames: DataFrame, segments: DataFrame, factors: Sequence[float]) -> tuple[DataFrame, DataFrame]:
     """Frames and labels of the same motions performed faster by each factor; for training takes only."""
     each = F.explode(F.array(*[F.lit(float(f)) for f in factors]))
     fast = frames.withColumn("factor", each).withColumn("t", F.col("t") / F.col("factor"))
     labels = segments.withColumn("factor", each).withColumns({c: F.col(c) / F.col("factor") for c in ("start_s", "end_s")})
-    name = F.concat_ws("x", "take", "factor")
+    name = copy_name(F.col("take"), F.col("factor"))
     return fast.withColumn("take", name), labels.withColumn("take", name)

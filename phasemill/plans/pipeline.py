@@ -18,14 +18,19 @@ from phasemill.schemas import LABELS, TUNED, SignalParams
 from phasemill.session import materialize, table
 
 FEATURES = S.feature_names()
+FASTER = (1.5, 2.0, 3.0)  # besides 1, the take itself
 
 
-def signals(spark: SparkSession, d: str, window: int = 5) -> DataFrame:
+def usable_frames(spark: SparkSession, d: str) -> DataFrame:
     # impossible readings would set the scale of whole takes
     raw = table(spark, d, "raw_keypoints")
     sane = F.col("x").between(-1, 2) & F.col("y").between(-1, 2)
     raw = raw.withColumn("detected", F.col("detected") & F.coalesce(sane, F.lit(False)))
-    return S.derive_signals(S.build_frames(raw), SignalParams(smooth_win=window))
+    return S.build_frames(raw)
+
+
+def signals(spark: SparkSession, d: str, window: int = 5) -> DataFrame:
+    return S.derive_signals(usable_frames(spark, d), SignalParams(smooth_win=window))
 
 
 def labelled_samples(features: DataFrame, labels: DataFrame) -> DataFrame:
@@ -38,19 +43,33 @@ def take_ends(sig: DataFrame) -> DataFrame:
     return sig.groupBy("take").agg(F.max("t").alias("t_end"))
 
 
-def posteriors(features: DataFrame, labels: DataFrame, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> DataFrame:
-    """Class probabilities of every sample. The classifier is fitted on a sample of at most ``rows`` labelled samples. With
-    ``folds``, takes are hashed into so many and each is predicted by a model fitted without its fold, as takes trained on should."""
-    fold = M.fold_of(F.col("take"), folds or 1)
-    sample = M.bounded_sample(labelled_samples(features, labels).select("take", "sample_idx", "label", *FEATURES), ["take", "sample_idx"], rows)
-    models = M.fold_models(materialize(sample.withColumn("fold", fold), "sample"), FEATURES, kind, folds)
-    return M.with_posteriors(features.withColumn("fold", fold), FEATURES, models, ["take", "sample_idx", "t"], "fold")
+def training_samples(features: DataFrame, frames: DataFrame, labels: DataFrame, window: int = 5) -> DataFrame:
+    """Labelled samples of the takes as they are and of their copies performed faster: ``origin, take, sample_idx, label, *FEATURES``.
+
+    ``origin`` is the take a copy is of. Copies go through signals and features as takes do.
+    """
+    columns = ["origin", "take", "sample_idx", "label", *FEATURES]
+    own = labelled_samples(features, labels).withColumn("origin", F.col("take")).select(*columns)
+    fast, segments = S.time_scaled(frames.join(labels.select("take").distinct(), "take", "left_semi"), labels, FASTER)
+    names = labels.select(F.col("take").alias("origin")).distinct().withColumn("factor", F.explode(F.array(*[F.lit(float(f)) for f in FASTER])))
+    names = names.select("origin", S.copy_name(F.col("origin"), F.col("factor")).alias("take"))
+    copies = S.build_features(materialize(S.derive_signals(fast, SignalParams(smooth_win=window)), "fast_signals"))
+    return own.unionByName(labelled_samples(copies, segments).join(names, "take").select(*columns))
 
 
-def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", folds: int = 0) -> tuple[DataFrame, DataFrame]:
+def posteriors(features: DataFrame, training: DataFrame, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> DataFrame:
+    """Class probabilities of every sample. The classifier is fitted on a sample of at most ``rows`` of the ``training`` samples. With
+    ``folds``, takes are hashed into so many and each is predicted by a model fitted without its fold, copies included, as takes trained on should."""
+    sample = M.bounded_sample(training, ["take", "sample_idx"], rows).withColumn("fold", M.fold_of(F.col("origin"), folds or 1))
+    models = M.fold_models(materialize(sample, "sample"), FEATURES, kind, folds)
+    return M.with_posteriors(features.withColumn("fold", M.fold_of(F.col("take"), folds or 1)), FEATURES, models, ["take", "sample_idx", "t"], "fold")
+
+
+def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> tuple[DataFrame, DataFrame]:
     sig = materialize(signals(spark, d), "signals")
     feats = materialize(S.build_features(sig), "features")
-    return materialize(posteriors(feats, truth(spark, d), kind, folds=folds), "posteriors"), sig
+    training = training_samples(feats, usable_frames(spark, d), materialize(truth(spark, d), "truth"))
+    return materialize(posteriors(feats, training, kind, rows, folds), "posteriors"), sig
 
 
 def motion_signals(spark: SparkSession, d: str) -> DataFrame:
@@ -89,9 +108,7 @@ def lr_probs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def boosted_probs(spark: SparkSession, d: str) -> DataFrame:
-    sig = materialize(signals(spark, d), "signals")
-    feats = materialize(S.build_features(sig), "features")
-    return posteriors(feats, truth(spark, d), "hgb", 20_000)
+    return _posteriors(spark, d, "hgb", 20_000)[0]
 
 
 def pipeline_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -23,7 +23,7 @@ def labelled_features(spark, takes, seed=4):
 def test_takes_are_predicted_by_a_model_that_has_not_seen_them(spark):
     feats, labels = labelled_features(spark, [f"vid{i}" for i in range(12)])
     cols = [f"p_{x}" for x in LABELS]
-    got = P.posteriors(feats, labels, folds=M.FOLDS).toPandas().sort_values(["take", "sample_idx"])
+    got = P.posteriors(feats, P.labelled_samples(feats, labels).withColumn("origin", F.col("take")), folds=M.FOLDS).toPandas().sort_values(["take", "sample_idx"])
     sample = P.labelled_samples(feats, labels).toPandas().sort_values(["take", "sample_idx"])
     fold = {r["take"]: r["fold"] for r in feats.select("take", M.fold_of(F.col("take")).alias("fold")).distinct().collect()}
     assert len(set(fold.values())) > 1
@@ -31,7 +31,7 @@ def test_takes_are_predicted_by_a_model_that_has_not_seen_them(spark):
         own = sample[sample["take"] == take]
         want = M.fit(sample[sample["take"].map(fold) != fold[take]], P.FEATURES).predict(own[P.FEATURES].to_numpy())
         assert np.allclose(g[cols], want, atol=1e-5)
-    plain = P.posteriors(feats, labels).toPandas().sort_values(["take", "sample_idx"])
+    plain = P.posteriors(feats, P.labelled_samples(feats, labels).withColumn("origin", F.col("take"))).toPandas().sort_values(["take", "sample_idx"])
     assert np.allclose(plain[cols], M.fit(sample, P.FEATURES).predict(sample[P.FEATURES].to_numpy()), atol=1e-5)
 
 
@@ -42,7 +42,7 @@ def test_every_penalty_of_the_grid_is_tried():
 def test_scores_and_penalty_are_out_of_fold(monkeypatch):
     seen = []
 
-    def spy(spark, d, kind="logreg", folds=0):
+    def spy(spark, d, kind="logreg", rows=0, folds=0):
         seen.append(folds)
         raise InterruptedError
 
@@ -53,3 +53,20 @@ def test_scores_and_penalty_are_out_of_fold(monkeypatch):
         except InterruptedError:
             pass
     assert seen == [M.FOLDS, M.FOLDS]
+
+
+def test_models_are_fitted_on_faster_copies_too(spark):
+    sf = "/root/testdata/sf0.001"
+    labels = P.truth(spark, sf)
+    sig = P.materialize(P.signals(spark, sf), "signals")
+    feats = P.materialize(P.S.build_features(sig), "features")
+    got = P.materialize(P.training_samples(feats, P.usable_frames(spark, sf), labels), "training")
+    assert got.filter("origin IS NULL OR label IS NULL").isEmpty()
+    seen = {(r["take"], r["origin"]): r["n"] for r in got.groupBy("take", "origin").agg(F.count(F.lit(1)).alias("n")).collect()}
+    plain = {r["take"]: r["n"] for r in P.labelled_samples(feats, labels).groupBy("take").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert plain and {t for t, _ in seen} == {f"{t}{x}" for t in plain for x in ("", "x1.5", "x2.0", "x3.0")}
+    for take, n in plain.items():
+        assert seen[take, take] == n
+        for f in P.FASTER:
+            # a copy has its take's samples thinned by the factor
+            assert abs(seen[f"{take}x{f}", take] - n / f) < 0.05 * n + 10
