@@ -273,11 +273,16 @@ def decode_argmax(post: DataFrame, ends: DataFrame, least: int = 6) -> DataFrame
     return events_of(s.drop("label").join(spread, ["take", "sample_idx"]).withColumnRenamed("absorbed", "label"), ends)
 
 
-def decode_pelt(post: DataFrame, ends: DataFrame, penalty: float = 1.0, min_size: int = 3) -> DataFrame:
-    """Changepoints of the 5-smoothed posteriors; each segment has the label of the greatest mean probability."""
+def pelt_labels(post: DataFrame, penalty: float = 1.0, min_size: int = 3) -> DataFrame:
+    """Samples with their 5-smoothed posteriors, ``segment`` by their changepoints, and ``label``, that of the segment's greatest mean probability."""
     s = changepoints(smoothed_posteriors(post, 5), "sample_idx", [f"p_{x}" for x in LABELS], penalty, min_size)
     label = s.groupBy("take", "segment").agg(*[F.avg(f"p_{x}").alias(f"p_{x}") for x in LABELS]).select("take", "segment", _most_likely().alias("label"))
-    return events_of(s.join(label, ["take", "segment"]), ends)
+    return s.join(label, ["take", "segment"])
+
+
+def decode_pelt(post: DataFrame, ends: DataFrame, penalty: float = 1.0, min_size: int = 3) -> DataFrame:
+    """Changepoints of the 5-smoothed posteriors; each segment has the label of the greatest mean probability."""
+    return events_of(pelt_labels(post, penalty, min_size), ends)
 
 
 def decode_grammar(post: DataFrame, ends: DataFrame, following: float = 4.0, other: float = 12.0) -> DataFrame:

@@ -13,7 +13,7 @@ from phasemill.operators import signals as S
 from phasemill.operators.metrics import boundary_metrics, full_scores, objective
 from phasemill.operators.relational import range_join, with_last_flag
 from phasemill.plans.catalogue import disjoint_events, truth
-from phasemill.plans.serving import serve_events, serve_signals
+from phasemill.plans.serving import serve_events, serve_signals, signals_view
 from phasemill.schemas import LABELS, TUNED, SignalParams
 from phasemill.session import materialize, table
 
@@ -123,15 +123,23 @@ def pipeline_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pipeline_serving(spark: SparkSession, d: str) -> DataFrame:
-    """The serving table of events, with their frames and mean signals."""
-    post, sig = _posteriors(spark, d)
+    """The serving table of events, with their frames and mean signals; no take is decoded by a model fitted on it."""
+    post, sig = _posteriors(spark, d, folds=M.FOLDS)
     ev = materialize(G.decode_pelt(post, take_ends(sig)), "events").withColumn("model_version", F.lit("logreg"))
-    return serve_events(ev, S.build_frames(table(spark, d, "raw_keypoints")), sig, F.lit(None).cast("string"))
+    groups = table(spark, d, "takes").select("take", "take_group").distinct()
+    return serve_events(ev.join(groups, "take", "left"), S.build_frames(table(spark, d, "raw_keypoints")), sig, F.col("take_group"))
 
 
 def serving_signals(spark: SparkSession, d: str) -> DataFrame:
-    sig = materialize(signals(spark, d), "signals").withColumn("predicted_label", F.lit(None).cast("string"))
-    return serve_signals(sig, truth(spark, d))
+    """The serving table of samples: signals, decoded label and hand label; no take is decoded by a model fitted on it."""
+    post, sig = _posteriors(spark, d, folds=M.FOLDS)
+    decoded = G.pelt_labels(post).select("take", "sample_idx", F.col("label").alias("predicted_label"))
+    return serve_signals(sig.join(decoded, ["take", "sample_idx"], "left"), truth(spark, d))
+
+
+def tableau_signals(spark: SparkSession, d: str) -> DataFrame:
+    """The view of signals over the 30 Hz samples; ``v_tableau_signals`` is the part that its SQL can make of frames."""
+    return signals_view(serving_signals(spark, d), table(spark, d, "takes").select("take", "take_group").distinct())
 
 
 PENALTIES = (0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 8.0)
@@ -160,6 +168,6 @@ def chance_baselines(spark: SparkSession, d: str) -> DataFrame:
     return out.select("take", "scope", *[c for c in out.columns if c.startswith("chance_")])
 
 
-QUERIES = {f.__name__: f for f in (motion_signals, feature_matrix, rule_events, lr_probs, boosted_probs, pipeline_scores, pipeline_serving, serving_signals, penalty_grid, chance_baselines)}
+QUERIES = {f.__name__: f for f in (motion_signals, feature_matrix, rule_events, lr_probs, boosted_probs, pipeline_scores, pipeline_serving, serving_signals, tableau_signals, penalty_grid, chance_baselines)}
 QUERIES |= {"pelt_events": pelt_events, "argmax_events": argmax_events, "grammar_events": grammar_events}
 ORACLES: dict[str, str] = {}

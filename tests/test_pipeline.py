@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from phasemill.operators import models as M
@@ -70,3 +71,27 @@ def test_models_are_fitted_on_faster_copies_too(spark):
         for f in P.FASTER:
             # a copy has its take's samples thinned by the factor
             assert abs(seen[f"{take}x{f}", take] - n / f) < 0.05 * n + 10
+
+
+@pytest.fixture(scope="module")
+def decoded(spark):
+    sf = "/root/testdata/sf0.001"
+    post, sig = P._posteriors(spark, sf, folds=2)
+    return sf, post, sig
+
+
+def test_serving_tables_carry_what_was_computed(spark, decoded, monkeypatch):
+    sf, post, sig = decoded
+    monkeypatch.setattr(P, "_posteriors", lambda *a, **k: (post, sig))
+    samples = P.materialize(P.serving_signals(spark, sf), "served")
+    labels = {(r["take"], r["sample_idx"]): r["label"] for r in P.G.pelt_labels(post).collect()}
+    got = samples.select("take", "sample_idx", "predicted_label").collect()
+    assert len(got) == sig.count() and all(r["predicted_label"] == labels[r["take"], r["sample_idx"]] for r in got)
+    assert {r["predicted_label"] for r in got} <= set(LABELS) and len({r["predicted_label"] for r in got}) > 2
+    group = {r["take"]: r["take_group"] for r in P.table(spark, sf, "takes").collect()}
+    events = P.pipeline_serving(spark, sf).select("take", "take_group").collect()
+    assert events and all(r["take_group"] == group.get(r["take"]) for r in events) and any(r["take_group"] for r in events)
+    monkeypatch.setattr(P, "serving_signals", lambda *a: samples)
+    view = P.tableau_signals(spark, sf)
+    assert view.count() == samples.filter(F.col("take").isin(list(group))).count()
+    assert view.filter("NOT hand_not_visible AND (speed IS NULL OR aperture IS NULL OR predicted_label IS NULL)").isEmpty()
