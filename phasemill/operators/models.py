@@ -9,7 +9,7 @@ import hashlib
 import io
 import json
 import pickle
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -174,6 +174,12 @@ def fold_models(sample: DataFrame, features: Sequence[str], kind: str, folds: in
     return models
 
 
+def rows_by_model(keys: pd.Series, models: Collection) -> dict[str | int | None, np.ndarray]:
+    """Positions of the rows each model predicts; keys without a model are None's, all at once."""
+    own = np.array([k if k in models else None for k in keys], dtype=object)
+    return {k: np.flatnonzero(own == k) for k in set(own)}
+
+
 def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | int | None, Logistic | Boosting], keep: Sequence[str], by: str = "take") -> DataFrame:
     """``(*keep, p_<LABEL>...)`` of every row; a take (or other value of ``by``) listed in ``models`` has its own model, others that under None.
 
@@ -188,10 +194,9 @@ def with_posteriors(df: DataFrame, features: Sequence[str], models: dict[str | i
         for b in batches:
             out = b[list(keep)].copy()
             p = np.zeros((len(b), len(LABELS)))
-            who = b[by].where(b[by].isin([k for k in held.value if k is not None]), None)
-            for take in set(who):
-                rows = np.flatnonzero(who.isna() if take is None or take != take else who == take)
-                p[rows] = held.value[take if take == take else None].predict(b[list(features)].to_numpy(float)[rows])
+            x = b[list(features)].to_numpy(float)
+            for k, rows in rows_by_model(b[by], held.value).items():
+                p[rows] = held.value[k].predict(x[rows])
             for i, x in enumerate(LABELS):
                 out[f"p_{x}"] = p[:, i]
             yield out

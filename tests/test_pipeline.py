@@ -95,3 +95,11 @@ def test_serving_tables_carry_what_was_computed(spark, decoded, monkeypatch):
     view = P.tableau_signals(spark, sf)
     assert view.count() == samples.filter(F.col("take").isin(list(group))).count()
     assert view.filter("NOT hand_not_visible AND (speed IS NULL OR aperture IS NULL OR predicted_label IS NULL)").isEmpty()
+
+
+def test_each_model_predicts_its_rows_once():
+    keys = pd.Series([0, 1, 1, 2, 0], dtype="int32")
+    as_lists = lambda models: {k: v.tolist() for k, v in M.rows_by_model(keys, models).items()}
+    assert as_lists({None: "all"}) == {None: [0, 1, 2, 3, 4]}
+    assert as_lists({0: "a", 1: "b", 2: "c"}) == {0: [0, 4], 1: [1, 2], 2: [3]}
+    assert as_lists({1: "b", None: "all"}) == {1: [1, 2], None: [0, 3, 4]}
