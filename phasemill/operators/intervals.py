@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasemill.operators.reach import bounded_reach
+from phasemill.session import materialize
 
 
 def _coalesced(df: DataFrame, by: Sequence[str], join_gap: int) -> DataFrame:
@@ -19,38 +20,44 @@ def _coalesced(df: DataFrame, by: Sequence[str], join_gap: int) -> DataFrame:
     return numbered.groupBy(*by, "__period").agg(F.min("__s").alias("__s"), F.max("__e").alias("__e")).drop("__period")
 
 
-def continuous_periods(df: DataFrame, entity: dict[str, Column], start: Column, end: Column, join_gap: int = 1, shard_width: int = 600_000, long_shards: int = 64) -> DataFrame:
+def continuous_periods(df: DataFrame, entity: dict[str, Column], start: Column, end: Column, join_gap: int = 1, shard_width: int = 600_000, points: bool = False) -> DataFrame:
     """Merge each entity's intervals into continuous periods: ``(*entity, start, end)``.
 
-    Two levels, so that no task ever gathers an entity. Intervals are clipped into time shards of
-    ``shard_width`` and merged inside each shard. Only pieces within ``join_gap`` of a shard's edge
-    can go on in another shard; these alone are stitched per entity, and what is merged there is
-    joined to the untouched inner pieces. An interval over more than ``long_shards`` shards isn't
-    clipped: it joins the stitching as it is, with all pieces of its entity, so that a stray length
-    costs no more rows than the entity has.
+    Two levels, so that no task ever gathers an entity. An interval belongs to the time shard of its
+    start; what of it lies beyond is clipped off and carried on as the running maximum of ends, one
+    number per shard however far it reaches. Intervals are merged inside each shard. A merged piece
+    that starts within ``join_gap`` of the coverage carried into its shard goes on with that; these
+    pieces, as one per shard, and the last piece of each shard are stitched per entity, so the
+    stitching sees two rows per shard with intervals at most. All other pieces are final.
 
     ``start`` and ``end`` are integers of one unit. Intervals less than ``join_gap`` apart belong to
-    one period (1: those that overlap or touch). Rows with a NULL bound or ``end <= start`` are left
-    out; a NULL entity is an entity of its own; repeated rows change nothing; an empty table gives
-    none. Columns beyond those named are not read, so clashing names do no harm.
+    one period (1: those that overlap or touch). Rows with a NULL bound or ``end < start`` are left
+    out, those of no length as well unless ``points``. A NULL entity is an entity of its own;
+    repeated rows change nothing; an empty table gives none. Columns beyond those named are not
+    read, so clashing names do no harm.
     """
     keys = list(entity)
     rows = df.select(*[c.alias(f"__k{i}") for i, c in enumerate(entity.values())], start.cast("long").alias("__s"), end.cast("long").alias("__e"))
     ks = [f"__k{i}" for i in range(len(keys))]
-    first, last = F.floor(F.col("__s") / shard_width), F.floor((F.col("__e") - 1) / shard_width)
-    rows = rows.filter(F.col("__e") > F.col("__s")).withColumns({"__a": first.cast("long"), "__z": last.cast("long")}).withColumn("__long", F.col("__z") - F.col("__a") > long_shards)
-    clipped = rows.filter(~F.col("__long")).withColumn("__shard", F.explode(F.sequence("__a", "__z"))).select(*ks, "__shard", F.greatest("__s", F.col("__shard") * shard_width).alias("__s"), F.least("__e", (F.col("__shard") + 1) * shard_width).alias("__e"))
-    local = _coalesced(clipped.repartition(*ks, "__shard"), [*ks, "__shard"], join_gap)
-    near = (F.col("__s") - F.col("__shard") * shard_width < join_gap) | ((F.col("__shard") + 1) * shard_width - F.col("__e") < join_gap)
-    whole = rows.filter("__long").select(*ks, "__s", "__e")
-    marks = whole.select(*[F.col(k).alias(f"__m{k}") for k in ks]).distinct().withColumn("__all", F.lit(True))
-    same = [F.col(k).eqNullSafe(F.col(f"__m{k}")) for k in ks]
-    pieces = local.join(marks, same, "left").withColumn("__open", near | F.coalesce(F.col("__all"), F.lit(False))).select(*ks, "__s", "__e", "__open")
-    stitched = _coalesced(pieces.filter("__open").select(*ks, "__s", "__e").unionByName(whole), ks, join_gap)
-    periods = pieces.filter(~F.col("__open")).select(*ks, "__s", "__e").unionByName(stitched)
+    rows = rows.filter(F.col("__e") >= F.col("__s") if points else F.col("__e") > F.col("__s")).withColumn("__shard", F.floor(F.col("__s") / shard_width))
+    pieces = materialize(_coalesced(rows.repartition(*ks, "__shard"), [*ks, "__shard"], join_gap), "pieces")
+    inner, edge = _parted(pieces, ks, join_gap)
+    periods = inner.unionByName(_coalesced(edge, ks, join_gap))
     return periods.select(*[F.col(k).alias(name) for k, name in zip(ks, keys, strict=True)], F.col("__s").alias("start"), F.col("__e").alias("end"))
 
 
+def _parted(pieces: DataFrame, ks: Sequence[str], join_gap: int) -> tuple[DataFrame, DataFrame]:
+    """Pieces that are final, and those to stitch: of each shard its last, and as one row those that coverage from before reaches."""
+    shards = pieces.groupBy(*ks, "__shard").agg(F.max("__e").alias("__own"))
+    before = F.max("__own").over(Window.partitionBy(*ks).orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1))
+    shards = shards.withColumn("__before", before).withColumnsRenamed({k: f"__m{k}" for k in ks}).withColumnRenamed("__shard", "__at")
+    seen = pieces.join(shards, [F.col(k).eqNullSafe(F.col(f"__m{k}")) for k in ks] + [F.col("__shard") == F.col("__at")])
+    seen = seen.withColumns({"__joined": F.coalesce(F.col("__s") - F.col("__before") < join_gap, F.lit(False)), "__last": F.col("__e") == F.col("__own")})
+    joined = seen.filter("__joined").groupBy(*ks, "__shard").agg(F.min("__s").alias("__s"), F.max("__e").alias("__e"))
+    span = [*ks, "__s", "__e"]
+    return seen.filter("NOT __joined AND NOT __last").select(*span), joined.select(*span).unionByName(seen.filter("NOT __joined AND __last").select(*span))
+
+
 def gaps_between(periods: DataFrame, entity: Sequence[str], max_gap: int | None = None, shard_width: int = 600_000) -> DataFrame:
     """The uncovered stretches between successive periods of an entity: ``(*entity, start, end)``.
 
@@ -69,9 +76,9 @@ def gaps_between(periods: DataFrame, entity: Sequence[str], max_gap: int | None
     return both.select(*entity, F.col("end").alias("start"), F.col("__next").alias("end"))
 
 
-def periods_and_gaps(df: DataFrame, entity: dict[str, Column], start: Column, end: Column, join_gap: int = 1, max_gap: int | None = None, shard_width: int = 600_000) -> DataFrame:
-    """``(*entity, kind, start, end)`` with kind ``period`` or ``gap``; see the two parts."""
-    periods = continuous_periods(df, entity, start, end, join_gap, shard_width)
+def periods_and_gaps(df: DataFrame, entity: dict[str, Column], start: Column, end: Column, join_gap: int = 1, max_gap: int | None = None, shard_width: int = 600_000, points: bool = False) -> DataFrame:
+    """``(*entity, kind, start, end)`` with kind ``period`` or ``gap``; see the two parts. Periods are computed once and written."""
+    periods = materialize(continuous_periods(df, entity, start, end, join_gap, shard_width, points), "periods")
     gaps = gaps_between(periods, list(entity), max_gap, shard_width)
     columns = [*entity, "kind", "start", "end"]
     return periods.withColumn("kind", F.lit("period")).select(*columns).unionByName(gaps.withColumn("kind", F.lit("gap")).select(*columns))

@@ -17,21 +17,21 @@ BOUNDS = {"x": (-1.0, 2.0), "y": (-1.0, 2.0), "handedness_score": (0.0, 1.0)}
 
 
 def _labelled(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
-    # a bound below half a millisecond of the other is a usable row, so the order is checked in seconds
+    # bounds of one millisecond are a usable row, so the order is checked in seconds and points are kept
     df = table(spark, d, "label_segments").filter(~missing(F.col("start_s")) & ~missing(F.col("end_s")) & (F.col("end_s") > F.col("start_s")))
     return df, {"take": F.lower(F.trim("take"))}
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     df, take = _labelled(spark, d)
-    found = periods_and_gaps(df, take, ms_of(F.col("start_s")), ms_of(F.col("end_s")), GAP_MS, PAUSE_MS)
+    found = periods_and_gaps(df, take, ms_of(F.col("start_s")), ms_of(F.col("end_s")), GAP_MS, PAUSE_MS, points=True)
     return found.select("take", "kind", F.col("start").alias("start_ms"), F.col("end").alias("end_ms"))
 
 
 def p1_coverage(spark: SparkSession, d: str) -> DataFrame:
     """Labelled time per take: number of periods, covered milliseconds, span."""
     df, take = _labelled(spark, d)
-    periods = continuous_periods(df, take, ms_of(F.col("start_s")), ms_of(F.col("end_s")), GAP_MS)
+    periods = continuous_periods(df, take, ms_of(F.col("start_s")), ms_of(F.col("end_s")), GAP_MS, points=True)
     return periods.groupBy("take").agg(F.count(F.lit(1)).alias("n_periods"), F.sum(F.col("end") - F.col("start")).alias("covered_ms"), F.min("start").alias("from_ms"), F.max("end").alias("to_ms"))
 
 

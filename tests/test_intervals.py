@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from phasemill.operators.intervals import continuous_periods, periods_and_gaps
+from phasemill.operators.intervals import _parted, continuous_periods, periods_and_gaps
 
 SCHEMA = "take string, s long, e long, start string, kind int, __shard int"
 
@@ -56,3 +56,22 @@ def test_touching_at_a_shard_edge(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert continuous_periods(df, {"take": F.col("take")}, F.col("s"), F.col("e")).count() == 0
+
+
+def test_points(spark):
+    df = spark.createDataFrame([("a", 0, 10, "x", 1, 2), ("a", 12, 12, "x", 1, 2), ("a", 15, 20, "x", 1, 2), ("b", 7, 7, "x", 1, 2)], SCHEMA)
+    got = lambda points: sorted(tuple(r) for r in continuous_periods(df, {"take": F.col("take")}, F.col("s"), F.col("e"), 5, points=points).collect())
+    assert got(True) == [("a", 0, 20), ("b", 7, 7)]
+    assert got(False) == [("a", 0, 10), ("a", 15, 20)]
+
+
+def test_one_interval_over_100_000_shards_leaves_stitching_small(spark):
+    # 2,000 intervals in 200 shards of one entity, under one that covers 100,000 shards
+    small = spark.range(2000).select(F.lit("a").alias("take"), (F.col("id") * 50).alias("s"), (F.col("id") * 50 + 3).alias("e"))
+    long = spark.createDataFrame([("a", 1, 50_000_000)], "take string, s long, e long")
+    both = small.unionByName(long)
+    assert [tuple(r) for r in continuous_periods(both, {"take": F.col("take")}, F.col("s"), F.col("e"), 5, 500).collect()] == [("a", 0, 50_000_000)]
+    for df in (small, both):
+        pieces = df.select(F.col("take").alias("__k0"), F.col("s").alias("__s"), F.col("e").alias("__e"), F.floor(F.col("s") / 500).alias("__shard"))
+        inner, edge = _parted(pieces, ["__k0"], 5)
+        assert edge.count() <= 2 * 200
