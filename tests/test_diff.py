@@ -62,3 +62,14 @@ def test_empty_sides(spark):
 def test_equal_copies_join_no_row(spark):
     a = [("a", i, "q" * 1000, i / 3, i) for i in range(200)]
     assert run(spark, a, a[::-1]) == []
+
+
+def test_several_rows_of_one_key(spark):
+    a, b, c, d = ("k", 1, "a", 1.0, 1), ("k", 1, "b", 1.0, 1), ("k", 1, "c", 1.0, 2), ("k", 1, "d", 1.0, 2)
+    other = [("k", i, "q", 0.5, i) for i in range(2, 60)]
+    for shards in (None, 1):
+        assert run(spark, [a, b, *other], [b, *other], shards=shards) == [("k", 1, "*", "missing_in_copy")]
+        assert run(spark, [b, *other], [a, b, *other], shards=shards) == [("k", 1, "*", "missing_in_source")]
+        assert run(spark, [a, b, *other], [b, a, *other], shards=shards) == []
+        assert run(spark, [a, b, *other], [b, c, *other], shards=shards) == [("k", 1, "n", "differs"), ("k", 1, "name", "differs")]
+        assert run(spark, [a, b], [c, d, *other[:1]], shards=shards) == [("k", 1, "*", "missing_in_copy"), ("k", 1, "*", "missing_in_source"), ("k", 2, "*", "missing_in_source")]
