@@ -86,7 +86,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_hampel(spark: SparkSession, d: str) -> DataFrame:
     """Outliers of the wrist's x by the classical Hampel filter (5 readings to either side)."""
     df = _wrist(spark, d).filter(F.col("x").between(-1, 2)).select("take", "frame_idx", "x").distinct()
-    df = df.withColumn("shard", F.floor(F.col("frame_idx") / 4096))
+    df = df.withColumn("shard", F.floor(F.col("frame_idx") / 512))
     out = hampel(df, ["take"], ["frame_idx", "x"], "x", 5, 3.0, "shard").filter("outlier")
     return out.select("take", "frame_idx", "x", F.round("rolling_median", 9).alias("rolling_median"), F.round("rolling_mad", 9).alias("rolling_mad"))
 
