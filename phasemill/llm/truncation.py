@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phasemill.session import materialize
 
@@ -22,22 +25,63 @@ def _count(c: Column, part: str) -> Column:
     return F.floor((F.octet_length(c) - F.octet_length(F.replace(c, F.lit(part), F.lit("")))) / len(part.encode()))
 
 
-def length_encodings(c: Column) -> dict[str, Column]:
-    """The length that a text has, or had before its export, under each way a field may be stored."""
-    chars, utf8 = F.char_length(c), F.octet_length(c)
-    lines, quotes = _count(c, "\n"), _count(c, '"')
-    xml = _count(c, "&") * 4 + _count(c, "<") * 3 + _count(c, ">") * 3
-    html = xml + quotes * 5 + _count(c, "'") * 4
-    json = quotes + _count(c, "\\") + lines + _count(c, "\r") + _count(c, "\t")
-    astral = F.char_length(F.regexp_replace(c, "[^\\x{10000}-\\x{10FFFF}]", ""))
-    beyond = F.char_length(F.regexp_replace(c, "[\\x00-\\x7F]", ""))
+# classes of bytes that add to a length: one for each character below, one each for the lead bytes
+# of characters of two or three bytes and of four, and one for the other bytes of such characters
+NEWLINE, QUOTE, AND, ANGLE, APOSTROPHE, BACKSLASH, CONTROL, BEYOND, ASTRAL, INSIDE = range(1, 11)
+_CLASS = np.zeros(256, np.uint8)
+for _text, _kind in (("\n", NEWLINE), ('"', QUOTE), ("&", AND), ("<>", ANGLE), ("'", APOSTROPHE), ("\\", BACKSLASH), ("\r\t", CONTROL)):
+    _CLASS[list(_text.encode())] = _kind
+_CLASS[0x80:0xC0], _CLASS[0xC0:0xF0], _CLASS[0xF0:] = INSIDE, BEYOND, ASTRAL
+_PIECE = 1 << 22
+
+
+def _classes(texts: pa.Array) -> np.ndarray:
+    """Bytes of each class in each text (texts x 11), NULL as the empty text; in pieces of a few megabytes, or of one text."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    out, n = np.zeros((len(texts), 11), np.int64), len(texts)
+    if not n:
+        return out
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + _PIECE, "right")) - 1)
+        kinds = _CLASS[data[ends[lo] : ends[hi]]]
+        at = np.flatnonzero(kinds)
+        row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))[at]
+        out[lo:hi] = np.bincount(row * 11 + kinds[at], minlength=(hi - lo) * 11).reshape(-1, 11)
+        out[lo:hi, 0] = np.diff(ends[lo : hi + 1])  # all bytes
+        lo = hi
+    return out
+
+
+ENCODINGS = ("chars", "utf8", "utf16", "xml", "xml_utf8", "html", "html_utf8", "json", "json_utf8", "json_ascii", "crlf", "crlf_utf8")
+
+
+@F.arrow_udf(T.StructType([T.StructField(k, T.LongType()) for k in ENCODINGS]))
+def _lengths(texts: pa.Array) -> pa.Array:
+    c = _classes(texts).T
+    utf8, lines, beyond, astral = c[0], c[NEWLINE], c[BEYOND] + c[ASTRAL], c[ASTRAL]
+    chars = utf8 - c[INSIDE]
+    xml = c[AND] * 4 + c[ANGLE] * 3
+    html = xml + c[QUOTE] * 5 + c[APOSTROPHE] * 4
+    json = c[QUOTE] + c[BACKSLASH] + lines + c[CONTROL]
     kinds = {
         "chars": chars, "utf8": utf8, "utf16": chars + astral,
         "xml": chars + xml, "xml_utf8": utf8 + xml, "html": chars + html, "html_utf8": utf8 + html,
         "json": chars + json, "json_utf8": utf8 + json, "json_ascii": chars + json + beyond * 5 + astral * 6,
         "crlf": chars + lines, "crlf_utf8": utf8 + lines,
     }
-    return {k: v.cast("long") for k, v in kinds.items()}
+    return pa.StructArray.from_arrays([pa.array(kinds[k]) for k in ENCODINGS], list(ENCODINGS))
+
+
+def length_encodings(c: Column) -> dict[str, Column]:
+    """The length that a text has, or had before its export, under each way a field may be stored.
+
+    All of them follow from the bytes of a few classes, counted in one pass over Arrow batches.
+    """
+    lengths = _lengths(c)
+    return {k: lengths[k] for k in ENCODINGS}
 
 
 def inspect_ending(c: Column) -> dict[str, Column]:
@@ -84,9 +128,14 @@ def inspect_ending(c: Column) -> dict[str, Column]:
 
 def _features(df: DataFrame, doc: str, text: str, source: str, group: str) -> DataFrame:
     c = F.col(text)
-    rows = df.filter(c.isNotNull() & (F.rtrim(c, F.lit(TRAILING)) != "")).select(F.col(doc).alias("doc"), F.col(source).alias("source"), F.col(group).alias("grp"), *[v.alias(f"len_{k}") for k, v in length_encodings(c).items()], *[v.alias(k) for k, v in inspect_ending(c).items()])
+    rows = df.filter(c.isNotNull() & (F.rtrim(c, F.lit(TRAILING)) != ""))
+    rows = rows.select(F.col(doc).alias("doc"), F.col(source).alias("source"), F.col(group).alias("page"), F.xxhash64(c).alias("hash"), F.struct(*[v.alias(k) for k, v in length_encodings(c).items()]).alias("len"), *[v.alias(k) for k, v in inspect_ending(c).items()])
     # runs of digits are one: fixed lines count passes and the like
-    return rows.withColumn("line", F.when(F.col("ending") == "unsure", F.regexp_replace("line", r"\p{N}+", "0")))
+    line = F.when(F.col("ending") != "whole", F.regexp_replace("line", r"\p{N}+", "0"))
+    rows = materialize(rows.select("doc", "source", "page", "hash", *[F.col(f"len.{k}").alias(f"len_{k}") for k in ENCODINGS], line.alias("line"), "form", "ending"), "endings")
+    # pages of one text are one piece of evidence, so that a table repeated under other ids tells no more than itself
+    pages = rows.groupBy("hash").agg(F.min("page").alias("grp"))
+    return materialize(rows.join(pages, "hash").drop("hash", "page"), "features")
 
 
 def storage_limits(features: DataFrame, least: int = 4, times: float = 10.0, near: int = 30) -> DataFrame:
@@ -110,21 +159,41 @@ def storage_limits(features: DataFrame, least: int = 4, times: float = 10.0, nea
     return best.groupBy("source", F.col("b.encoding").alias("encoding"), F.col("b.length").alias("limit")).agg(F.max("b.n_groups").alias("n_groups"), F.max("b.expected").alias("expected"), F.count(F.lit(1)).alias("own")).filter(F.col("own") >= least).drop("own")
 
 
-def truncated_texts(df: DataFrame, doc: str, text: str, source: str, group: str, fixed_share: float = 4e-4, fixed_least: int = 2, fixed_length: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+def fixed_lines(endings: DataFrame, least: int = 2, length: int = 8, near: int = 64) -> DataFrame:
+    """``(line)``: last lines that stand where texts end, not where something cut them.
+
+    Cuts fall anywhere: where many texts share a sentence, they leave all of its beginnings alike. So
+    a line of at least ``length`` characters is fixed if it ends texts of at least ``least`` groups
+    away from every limit, and of more groups than all its beginnings and continuations of up to
+    ``near`` characters together. Both sides grow alike with the corpus. ``endings`` has ``line, grp,
+    free`` of prose that isn't whole.
+    """
+    per = endings.groupBy("line", "grp").agg(F.max("free").alias("free")).groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.sum("free").alias("n_free"))
+    lines = materialize(per.withColumn("key", F.xxhash64("line")), "lines")
+    sure = lines.filter((F.char_length("line") >= length) & (F.col("n_free") >= least))
+    shorter = F.transform(F.sequence(F.greatest(F.char_length("line") - near, F.lit(1)), F.char_length("line") - 1), lambda i: F.xxhash64(F.substring(F.col("line"), F.lit(1), i)))
+    begun = lambda df: df.filter(F.char_length("line") > 1).select("key", "n", F.explode(shorter).alias("start"))
+    before = begun(sure).join(lines.select(F.col("key").alias("start"), F.col("n").alias("m")), "start").select("key", "m")
+    after = begun(lines).join(sure.select(F.col("key").alias("start")), "start").select(F.col("start").alias("key"), F.col("n").alias("m"))
+    around = before.unionByName(after).groupBy("key").agg(F.sum("m").alias("around"))
+    return sure.join(around, "key", "left").filter(F.col("n_free") > F.coalesce("around", F.lit(0))).select("line")
+
+
+def truncated_texts(df: DataFrame, doc: str, text: str, source: str, group: str, fixed_least: int = 2, fixed_length: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(judged, limits, features)``; judged has ``(doc, source, form, at_limit, truncated)`` of every text that isn't blank.
 
     Lengths under the encodings of :func:`length_encodings` expose each source's hidden limits
     (:func:`storage_limits`); then the last line is inspected. Endings that are cut or whole by
     themselves are so at any length: full texts that happen to have a limit's length are common. An
-    unsure ending is settled by other texts and by the limit: a line (digits aside) with which texts
-    of at least ``max(fixed_least, fixed_share * texts)`` groups end is a fixed line, whole; other
-    prose is cut; a list item or bracket is cut only at a limit, and there not if a text away from
-    the limit ends with the same line.
+    unsure ending is settled by other texts and by the limits: prose is whole if its last line
+    (digits aside) is a fixed one, which is told by texts away from the limits
+    (:func:`fixed_lines`), and cut otherwise; a list item or bracket is cut only at a limit, and
+    there not if a text away from the limits ends with the same line.
 
     NULL, empty and blank texts are no cases and get no row; a NULL source is a source without
     limits; repeated rows are each judged; an empty table gives no rows. Whole texts are read, once.
     """
-    features = materialize(_features(df, doc, text, source, group), "endings")
+    features = _features(df, doc, text, source, group)
     limits = materialize(storage_limits(features), "limits")
     kinds = [c for c in features.columns if c.startswith("len_")]
     # limits per source as a map encoding -> lengths: one row per source
@@ -134,11 +203,14 @@ def truncated_texts(df: DataFrame, doc: str, text: str, source: str, group: str,
     own = F.create_map(*[x for k in kinds for x in (F.lit(k[4:]), F.col(k))])
     known = features.select("doc", "source", "grp", "line", "form", "ending", own.alias("own")).join(per, "source", "left")
     known = known.withColumn("at_limit", F.coalesce(F.exists("limits", lambda x: slack(x["encoding"], F.element_at(F.col("own"), x["encoding"]), x["limit"])), F.lit(False))).drop("own", "limits")
-    texts = features.count()
+    free = F.when(F.col("at_limit"), 0).otherwise(1).alias("free")
+    prose = F.col("form") == PROSE
+    fixed = fixed_lines(known.filter(prose & (F.col("ending") != "whole")).select("line", "grp", free), fixed_least, fixed_length).withColumn("settled", F.lit(True))
     unsure = known.filter(F.col("ending") == "unsure")
-    lines = unsure.groupBy("line", "grp").agg(F.max(F.when(~F.col("at_limit"), 1).otherwise(0)).alias("free")).groupBy("line").agg(F.count(F.lit(1)).alias("n_groups"), F.max("free").alias("free"))
-    fixed = (F.col("n_groups") >= max(fixed_least, fixed_share * texts)) & (F.char_length("line") >= fixed_length)
-    settled = unsure.join(lines, "line", "left").withColumn("truncated", F.when(F.col("form") == PROSE, ~fixed).otherwise(F.col("at_limit") & (F.col("free") == 0)))
+    items = unsure.filter(~prose & ~F.col("at_limit")).select("line").distinct().withColumn("settled", F.lit(True))
     columns = ["doc", "source", "form", "at_limit", "truncated"]
-    judged = known.filter(F.col("ending") != "unsure").withColumn("truncated", F.col("ending") == "cut").select(*columns).unionByName(settled.select(*columns))
+    # a line that ends very many texts is a hot key on one side only, which the join may split
+    judged = known.filter(F.col("ending") != "unsure").withColumn("truncated", F.col("ending") == "cut").select(*columns)
+    judged = judged.unionByName(unsure.filter(prose).join(fixed, "line", "left").withColumn("truncated", F.col("settled").isNull()).select(*columns))
+    judged = judged.unionByName(unsure.filter(~prose).join(items, "line", "left").withColumn("truncated", F.col("at_limit") & F.col("settled").isNull()).select(*columns))
     return judged.withColumnRenamed("doc", doc), limits, features

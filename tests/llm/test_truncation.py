@@ -101,3 +101,28 @@ def test_no_texts(spark):
 def test_inspection_needs_no_other_text(spark):
     df = spark.createDataFrame([("One.\n* Alpha",), ("One.\nReview state: none",)], "t string")
     assert [r["ending"] for r in df.select(*[v.alias(k) for k, v in inspect_ending(F.col("t")).items()]).collect()] == ["unsure", "unsure"]
+
+
+def test_fixed_lines_do_not_depend_on_the_number_of_texts(spark):
+    """Last lines of a script, and one sentence cut anywhere, some places twice: judged alike among few and many texts, also if all are repeated under other ids."""
+    sentence = "Its population fell from 900 to 700 between 1900 and 1950 mostly by"
+    rows = [(f"Page {i} is a stub{'x' * (i % 23)}.\nReview state: none", "bot", i) for i in range(4)]
+    rows += [(f"Page {i} has more{'y' * (i % 31)}. \n{sentence[: 9 + (i * 7) % 50]}", "people", 100 + i) for i in range(60)]
+    rows += [(f"Page {i} has much more{'y' * (i % 31)}.\n{sentence[:40]}", "people", 300 + i) for i in range(3)]
+    many = [(f"Filler {i}{'z' * (i % 40)} ends here.", "people", 10_000 + i) for i in range(3000)]
+    again = [(t, s, p + 1_000_000) for t, s, p in rows]
+    for more in ([], many, again):
+        got, _ = judge(spark, rows + more)
+        assert [got[i]["truncated"] for i in range(len(rows))] == [False] * 4 + [True] * 63
+    assert all(got[len(rows) + i]["truncated"] == got[i]["truncated"] for i in range(len(rows)))
+
+
+def test_lengths_of_odd_arrays():
+    import pyarrow as pa
+
+    from phasemill.llm.truncation import _classes
+
+    texts = [None, "", "a\n" * 3_000_000, "é漢🙂\"", None, "x" * 10]
+    whole = _classes(pa.array(texts))
+    assert whole[:, 0].tolist() == [0, 0, 6_000_000, 10, 0, 10] and whole[2, 1] == 3_000_000
+    assert (_classes(pa.array(texts).slice(2, 3)) == whole[2:5]).all() and _classes(pa.array([], pa.string())).shape == (0, 11)
