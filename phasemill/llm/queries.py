@@ -13,6 +13,7 @@ from phasemill.llm.truncation import truncated_texts
 from phasemill.session import ms_of, table
 
 RUN_GAP_MS, NEAR_MS = 250, 40
+ALIKE = 0.6
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -23,6 +24,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return runs.filter("n_events > 1").select("table_name", "take", "seq", F.col("start").alias("start_ms"), "n_events", F.col("duration").alias("duration_ms"), "n_frames")
 
 
+def p4_similar(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of near-identical labels as they are spelled: neighbours whose character pairs agree by 0.6 or more."""
+    phases = table(spark, d, "tableau_phases")
+    runs = collapse_runs(phases, {c: F.col(c) for c in ("take", "source")}, F.col("label"), ms_of(F.col("start_s")), ms_of(F.col("end_s")), None, ALIKE, RUN_GAP_MS)
+    return runs.filter("n_events > 1").select("take", "source", "label", F.col("start").alias("start_ms"), "n_events", F.col("duration").alias("duration_ms"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     frames = table(spark, d, "raw_keypoints").filter((F.col("keypoint_id") == 0) & F.col("detected"))
     phases = table(spark, d, "tableau_phases")
@@ -73,7 +81,7 @@ def p9_limits(spark: SparkSession, d: str) -> DataFrame:
     return _truncated(spark, d)[1]
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p5_found, p7_ids, p7_stats, p8_mix, p8_shares, p9_found, p9_rates, p9_limits)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_similar, p5_found, p7_ids, p7_stats, p8_mix, p8_shares, p9_found, p9_rates, p9_limits)}
 
 ORACLES = {
     "p4_found": f"""
@@ -88,6 +96,16 @@ c AS (SELECT *, max(e) OVER (PARTITION BY table_name, take, seq, streak ORDER BY
 r AS (SELECT *, sum(CASE WHEN s - reach <= {RUN_GAP_MS} THEN 0 ELSE 1 END) OVER (PARTITION BY table_name, take, seq, streak ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM c)
 SELECT table_name, take, seq, min(s) AS start_ms, count(*) AS n_events, max(e) - min(s) AS duration_ms, CAST(sum(f) AS BIGINT) AS n_frames
 FROM r GROUP BY table_name, take, seq, streak, run HAVING count(*) > 1""",
+    "p4_similar": f"""
+WITH e AS (SELECT DISTINCT take, source, label, CAST(floor(start_s * 1000 + 0.5) AS BIGINT) AS s, CAST(floor(end_s * 1000 + 0.5) AS BIGINT) AS e
+           FROM tableau_phases WHERE label IS NOT NULL AND start_s IS NOT NULL AND end_s IS NOT NULL),
+g AS (SELECT *, list_distinct([label[i:i + 1] FOR i IN range(1, length(label))]) AS pairs FROM e),
+a AS (SELECT *, lag(label) OVER w AS before, lag(pairs) OVER w AS others FROM g WINDOW w AS (PARTITION BY take, source ORDER BY s, e, label)),
+b AS (SELECT *, sum(CASE WHEN label = before OR (len(pairs) > 0 AND len(others) > 0 AND 2 * len(list_intersect(pairs, others)) / (len(pairs) + len(others)) >= {ALIKE}) THEN 0 ELSE 1 END)
+             OVER (PARTITION BY take, source ORDER BY s, e, label ROWS UNBOUNDED PRECEDING) AS streak FROM a),
+c AS (SELECT *, max(e) OVER (PARTITION BY take, source, streak ORDER BY s, e, label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM b),
+r AS (SELECT *, sum(CASE WHEN s - reach <= {RUN_GAP_MS} THEN 0 ELSE 1 END) OVER (PARTITION BY take, source, streak ORDER BY s, e, label ROWS UNBOUNDED PRECEDING) AS run FROM c)
+SELECT take, source, arg_min(label, (s, e, label)) AS label, min(s) AS start_ms, count(*) AS n_events, max(e) - min(s) AS duration_ms FROM r GROUP BY take, source, streak, run HAVING count(*) > 1""",
     "p5_found": f"""
 WITH f AS (SELECT take, timestamp_ms AS t, min(frame_idx) AS i FROM raw_keypoints WHERE keypoint_id = 0 AND detected AND timestamp_ms IS NOT NULL GROUP BY ALL),
 l AS (SELECT DISTINCT take, source, CAST(floor(start_s * 1000 + 0.5) AS BIGINT) AS start_ms FROM tableau_phases WHERE start_s IS NOT NULL AND NOT isnan(start_s))

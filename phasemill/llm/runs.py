@@ -21,20 +21,26 @@ def bigram_dice(a: str, b: str) -> float:
     return 2 * len(x & y) / (len(x) + len(y)) if x and y else 0.0
 
 
-def agglomerate(group: np.ndarray, label: list, start: np.ndarray, end: np.ndarray, min_similarity: float, max_gap: int) -> np.ndarray:
+def similar(a: str, b: str, min_similarity: float) -> float:
+    """Similarity of two labels; only equality is looked at where nothing less would do."""
+    return 1.0 if a == b else bigram_dice(a, b) if min_similarity < 1 else 0.0
+
+
+def agglomerate(group: np.ndarray, label: list, start: np.ndarray, end: np.ndarray, min_similarity: float, max_gap: int, tail: list | None = None) -> np.ndarray:
     """First node of the run each node belongs to.
 
     Nodes come sorted by group, start, end, label. They form a linked list; a priority queue holds
     the neighbouring runs that may merge, the most similar first, then the least gap, then the first.
-    A pair may merge if both lie in one group, their labels (that of a run is its first node's) are
-    similar enough, and the right run starts at most ``max_gap`` after the left run's latest end.
-    With labels compared for equality the order of merging doesn't change the outcome: a run only
-    grows, so a pair that may merge may still do so later.
+    A pair may merge if both lie in one group, the labels that touch (of the left run's last event and
+    of the right run's first) are similar enough, and the right run starts at most ``max_gap`` after
+    the left run's latest end. ``tail`` are the last labels of nodes that are runs already. Runs only
+    grow and the labels at a border stay, so a pair that may merge may still do so later: the outcome
+    is the same wherever the events are cut into shards.
     """
     n = len(label)
     nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
     first, reach, alive, version = list(range(n)), end.tolist(), [True] * n, [0] * n
-    begin, of = start.tolist(), group.tolist()
+    begin, of, last = start.tolist(), group.tolist(), list(label if tail is None else tail)
     heap: list[tuple[float, int, int, int, int, int]] = []
 
     def offer(i: int) -> None:
@@ -43,7 +49,7 @@ def agglomerate(group: np.ndarray, label: list, start: np.ndarray, end: np.ndarr
             return
         gap = begin[j] - reach[i]
         if gap <= max_gap:
-            s = 1.0 if label[i] == label[j] else (bigram_dice(label[i], label[j]) if min_similarity < 1 else 0.0)
+            s = similar(last[i], label[j], min_similarity)
             if s >= min_similarity:
                 heapq.heappush(heap, (-s, gap, i, j, version[i], version[j]))
 
@@ -55,7 +61,7 @@ def agglomerate(group: np.ndarray, label: list, start: np.ndarray, end: np.ndarr
             continue
         # j's run joins i's; what was queued for either is stale from now on
         alive[j] = False
-        reach[i] = max(reach[i], reach[j])
+        reach[i], last[i] = max(reach[i], reach[j]), last[j]
         version[i] += 1
         first[j] = i
         nxt[i] = nxt[j]
@@ -92,21 +98,21 @@ def _merged(batch: pa.Table, keys: Sequence[str], min_similarity: float, max_gap
         changed[1:] |= ~(within | across)
     group = np.cumsum(changed)
     start, end = batch["start"].to_numpy(), batch["end"].to_numpy()
-    head = agglomerate(group, batch["label"].to_pylist(), start, end, min_similarity, max_gap)
+    label, tail = batch["label"].to_pylist(), batch["tail"].to_pylist()
+    head = agglomerate(group, label, start, end, min_similarity, max_gap, tail)
     heads = np.flatnonzero(head == np.arange(n))
     # prefix: the runs that one reaching in from before might still join, as far as labels allow
     opened = np.flatnonzero(changed)
-    prefix = np.ones(n, bool)
-    if min_similarity >= 1:
-        codes = batch["label"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        breaks = np.cumsum(np.append(False, codes[1:] != codes[:-1]))
-        prefix = breaks == np.repeat(breaks[opened], np.diff(np.append(opened, n)))
+    apart = np.array([similar(x, y, min_similarity) < min_similarity for x, y in zip(tail, label[1:], strict=False)], bool)
+    breaks = np.cumsum(np.append(False, apart))
+    prefix = breaks == np.repeat(breaks[opened], np.diff(np.append(opened, n)))
     of = group[heads]
     first_head = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
     position = np.arange(len(heads)) - np.repeat(first_head, np.diff(np.append(first_head, len(heads))))
     out = {c: batch[c].take(pa.array(heads)) for c in dict.fromkeys([*keys, "shard", "label", "start"])}
     sums = {c: np.add.reduceat(batch[c].to_numpy(), heads) for c in ("n_events", "n_frames")}
-    return pa.table({**out, "end": np.maximum.reduceat(end, heads), **sums, "idx": position, "prefix": prefix[heads], "last": np.append(of[1:] != of[:-1], True)})
+    ends = np.append(heads[1:], n) - 1
+    return pa.table({**out, "tail": batch["tail"].take(pa.array(ends)), "end": np.maximum.reduceat(end, heads), **sums, "idx": position, "prefix": prefix[heads], "last": np.append(of[1:] != of[:-1], True)})
 
 
 def _by_group(keys: Sequence[str], min_similarity: float, max_gap: int):
@@ -142,12 +148,11 @@ def collapse_runs(df: DataFrame, entity: dict[str, Column], label: Column, start
 
     Adjacent agglomeration: per entity and time shard the events, in order of start, end and label,
     form a linked list whose most similar neighbours are merged through a priority queue until none
-    meets ``min_similarity`` (1: equal labels; below: Dice coefficient of character pairs, a run
-    having its first event's label) and ``max_gap``, the time from the latest end of the left run to
-    the start of the right one. The runs that can go on across a shard's edge, its last and those at
-    its beginning that earlier events reach, are then agglomerated per entity, the others are final.
-    With ``min_similarity`` below 1 the shards' own merging is kept, so a chain of ever-changing
-    labels may be parted otherwise than in one pass; equality has one outcome.
+    meets ``min_similarity`` (1: equal labels; below: Dice coefficient of character pairs of the two
+    labels that touch; a run is named by its first event) and ``max_gap``, the time from the latest
+    end of the left run to the start of the right one. The runs that can go on across a shard's edge,
+    its last and those at its beginning that earlier events reach and labels allow, are then
+    agglomerated per entity, the others are final. The outcome doesn't depend on ``shard_width``.
 
     Rows with a NULL label, start or end are left out. Rows equal in entity, label, start and end
     count once, with the largest ``frames`` (NULL counts 0). A NULL entity is an entity of its own;
@@ -156,11 +161,12 @@ def collapse_runs(df: DataFrame, entity: dict[str, Column], label: Column, start
     keys = [f"k{i}" for i in range(len(entity))]
     rows = df.select(*[c.alias(k) for k, c in zip(keys, entity.values(), strict=True)], label.cast("string").alias("label"), start.cast("long").alias("start"), end.cast("long").alias("end"), F.coalesce(frames.cast("long") if frames is not None else F.lit(0), F.lit(0)).cast("long").alias("n_frames"))
     rows = rows.filter(F.col("label").isNotNull() & F.col("start").isNotNull() & F.col("end").isNotNull()).withColumn("shard", F.floor(F.col("start") / shard_width))
-    rows = rows.groupBy(*keys, "shard", "label", "start", "end").agg(F.max("n_frames").alias("n_frames")).withColumn("n_events", F.lit(1).cast("long"))
-    columns = [*keys, "shard", "label", "start", "end", "n_events", "n_frames"]
+    # one shuffle; the removal of repeats and the sort reuse its partitioning
+    rows = rows.repartition(*keys, "shard").groupBy(*keys, "shard", "label", "start", "end").agg(F.max("n_frames").alias("n_frames")).withColumns({"n_events": F.lit(1).cast("long"), "tail": F.col("label")})
+    columns = [*keys, "shard", "label", "start", "tail", "end", "n_events", "n_frames"]
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", idx bigint, prefix boolean, last boolean"
-    rows = rows.select(*columns).repartition(*keys, "shard").sortWithinPartitions(*keys, "shard", "start", "end", "label")
+    rows = rows.select(*columns).sortWithinPartitions(*keys, "shard", "start", "end", "label")
     # written: three passes below read the runs, and none should merge them again
     local = materialize(rows.mapInArrow(_by_group([*keys, "shard"], min_similarity, max_gap), schema), "runs")
     # how far the events of all earlier shards of an entity reach

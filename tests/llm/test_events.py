@@ -72,6 +72,26 @@ def test_most_similar_neighbours_first():
     assert head.tolist() == [0, 0, 0, 3]
 
 
+@pytest.mark.parametrize("width", [150, 1000, 600_000])
+def test_near_identical_runs_do_not_depend_on_shards(spark, width):
+    rng, rows, t = random.Random(5), [], 0
+    for _ in range(200):
+        t += rng.choice([0, 20, 100, 240, 251, 400])
+        rows.append((rng.choice(["hot", "b"]), rng.choice(["GRASP", "GRASPS", "GRASPING", "HOLD", "HOLDS"]), t, t + rng.choice([30, 200, 900, 9000]), 1))
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    got = collapse_runs(df, {"take": F.col("take")}, F.col("label"), F.col("s"), F.col("e"), F.col("f"), 0.6, 250, width)
+    want = []
+    for take in ("hot", "b"):
+        run = None
+        for s, e, lab in sorted({(s, e, lab) for k, lab, s, e, _ in rows if k == take}):
+            if run and bigram_dice(run[5], lab) >= 0.6 and s <= run[3] + 250:
+                run[3], run[4], run[5] = max(run[3], e), run[4] + 1, lab
+            else:
+                run = [take, lab, s, e, 1, lab]
+                want.append(run)
+    assert sorted((r["take"], r["label"], r["start"], r["n_events"], r["duration"]) for r in got.collect()) == sorted((r[0], r[1], r[2], r[4], r[3] - r[2]) for r in want)
+
+
 def nearest(left, right, tol):
     out = set()
     for t, x, c in {r for r in left if r[0] is not None and r[1] is not None}:
