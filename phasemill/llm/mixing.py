@@ -43,18 +43,18 @@ class SplittingTree:
         self.blocks, self.shards, self.seed = tuple(int(b) for b in blocks), shards, seed
         self._node = lru_cache(maxsize=4096)(self._held)
 
-    def _held(self, lo: int, hi: int, parent: tuple[int, int] | None) -> tuple[int, ...]:
+    def _held(self, lo: int, hi: int, parent: tuple[int, int] | None) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """The blocks of each source that the node holds, and how many of each lie left of it."""
         if parent is None:
-            return self.blocks
+            return self.blocks, (0,) * len(self.blocks)
         plo, phi = parent
-        above = self._node(plo, phi, self._parent(plo, phi))
+        above, before = self._node(plo, phi, self._parent(plo, phi))
         middle = (plo + phi) // 2
         rng = np.random.default_rng([self.seed, plo, phi])
-        total = sum(above)
-        take = total * (middle - plo) // (phi - plo)
-        left = rng.multivariate_hypergeometric(above, take, method="marginals") if total else np.zeros(len(above), np.int64)
-        held = left if (lo, hi) == (plo, middle) else np.asarray(above) - left
-        return tuple(int(x) for x in held)
+        left = draw_colours(rng, above, sum(above) * (middle - plo) // (phi - plo))
+        if (lo, hi) == (plo, middle):
+            return tuple(left), before
+        return tuple(a - x for a, x in zip(above, left, strict=True)), tuple(b + x for b, x in zip(before, left, strict=True))
 
     def _parent(self, lo: int, hi: int) -> tuple[int, int] | None:
         a, b, parent = 0, self.shards, None
@@ -64,9 +64,52 @@ class SplittingTree:
         return parent
 
     def leaf(self, shard: int) -> tuple[int, ...]:
+        return self.placed(shard)[0]
+
+    def placed(self, shard: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """A shard's blocks of each source, and the place of the first among the source's permuted blocks."""
         return self._node(shard, shard + 1, self._parent(shard, shard + 1))
 
 
+NUMPY_MOST = 10**9  # numpy draws from fewer than so many
+
+
+def draw_colours(rng: np.random.Generator, colours: Sequence[int], take: int) -> list[int]:
+    """``take`` items drawn without replacement, by colour: one draw of the multivariate hypergeometric distribution, whatever its size."""
+    total = sum(colours)
+    if 0 < total < NUMPY_MOST:
+        return [int(x) for x in rng.multivariate_hypergeometric(colours, take, method="marginals")]
+    out = []
+    for c in colours:
+        total -= c
+        out.append(draw_good(rng, c, total, take))
+        take -= out[-1]
+    return out
+
+
+def draw_good(rng: np.random.Generator, good: int, bad: int, take: int) -> int:
+    """One draw of the hypergeometric distribution, of any size.
+
+    Beyond what numpy draws, by inversion: the probabilities around the mode follow from the ratios of
+    neighbours, each to full precision; what lies over 12 deviations off has less than 1e-31.
+    """
+    total = good + bad
+    low, high = max(0, take - bad), min(good, take)
+    if low == high:
+        return low
+    if total < NUMPY_MOST:
+        return int(rng.hypergeometric(good, bad, take))
+    mode = (take + 1) * (good + 1) // (total + 2)
+    share = good / total
+    reach = int(12 * math.sqrt(take * share * (1 - share) * (total - take) / (total - 1))) + 12
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=float)
+    ratios = np.log(good - k) + np.log(take - k) - np.log(k + 1) - np.log(float(bad - take) + k + 1)
+    logs = np.append(0.0, np.cumsum(ratios))
+    chance = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(chance, rng.random() * chance[-1], "right"))
+
+
 def plan_quotas(targets: Sequence[tuple[str, float, int]], available: dict[str, int], block_tokens: int, total_tokens: int | None = None) -> list[Quota]:
     """The tokens of each source for the largest mixture that keeps all shares and no repeat above its cap.
 
@@ -142,9 +185,7 @@ def mix_sources(sizes: DataFrame, doc: str, source: str, size: str, targets: Dat
 
     tree = SplittingTree([q.blocks for q in quotas], shards, seed)
     leaves = _leaves(docs.sparkSession, tree, names)
-    w = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
-    runs = leaves.withColumn("upto", F.sum("blocks").over(w)).filter("blocks > 0")
-    owned = runs.select("source", "shard", F.explode(F.sequence(F.col("upto") - F.col("blocks"), F.col("upto") - 1)).alias("block"))
+    owned = leaves.select("source", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("block"))
     mixed = uses.join(owned, ["source", "block"])
     order = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("doc", "copy", F.lit(seed + 1)), "doc", "copy")) - 1
     mixture = mixed.select("shard", order.cast("long").alias("position"), F.col("doc").alias(doc), "source", "copy", F.col("n").alias("n_tokens"))
@@ -163,13 +204,14 @@ def _rows(spark, quotas: list[Quota], seed: int) -> DataFrame:
 
 
 def _leaves(spark, tree: SplittingTree, names: list[str]) -> DataFrame:
-    """``(source, shard, blocks)``, found on the executors, each task a range of shards."""
+    """``(source, shard, first, blocks)`` of what shards hold, found on the executors, each task a range of shards."""
     blocks, shards, seed = tree.blocks, tree.shards, tree.seed
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = SplittingTree(blocks, shards, seed)
+        own, sources = SplittingTree(blocks, shards, seed), np.array(names, dtype=object)
         for b in batches:
-            held = np.array([own.leaf(int(i)) for i in b["id"]], dtype=np.int64).reshape(len(b), len(names))
-            yield pd.DataFrame({"source": np.tile(np.array(names, dtype=object), len(b)), "shard": np.repeat(b["id"].to_numpy(), len(names)), "blocks": held.ravel()})
+            placed = np.array([own.placed(int(i)) for i in b["id"]], dtype=np.int64).reshape(len(b), 2, len(names))
+            row, source = np.nonzero(placed[:, 0])
+            yield pd.DataFrame({"source": sources[source], "shard": b["id"].to_numpy()[row], "first": placed[row, 1, source], "blocks": placed[row, 0, source]})
 
-    return spark.range(shards).mapInPandas(run, "source string, shard long, blocks long")
+    return spark.range(shards).mapInPandas(run, "source string, shard long, first long, blocks long")

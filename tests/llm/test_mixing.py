@@ -5,7 +5,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from phasemill.llm.mixing import SplittingTree, mix_sources, plan_quotas
+from phasemill.llm import mixing
+from phasemill.llm.mixing import SplittingTree, draw_good, mix_sources, plan_quotas
 
 SCHEMA = "doc_id long, source string, n long, shard int, copy int, h string"
 
@@ -24,6 +25,40 @@ def test_tree_is_hypergeometric():
     assert draws.mean() == pytest.approx(15, abs=0.3) and draws.var() == pytest.approx(50 * 0.3 * 0.7 * 50 / 99, rel=0.12)
 
 
+@pytest.mark.parametrize("shards", [1, 7, 64])
+def test_places_of_leaves_follow_each_other(shards):
+    tree = SplittingTree((400, 0, 3, 97), shards, 5)
+    upto = np.zeros(4, int)
+    for i in range(shards):
+        held, first = tree.placed(i)
+        assert tuple(upto) == first
+        upto += held
+
+
+def test_tree_of_very_many_blocks():
+    blocks = (4_000_000_000, 999_999_999, 1, 0)
+    shards = 150_000_000
+    tree = SplittingTree(blocks, shards, 5)
+    first, last = tree.placed(0), tree.placed(shards - 1)
+    assert first[1] == (0, 0, 0, 0) and tuple(a + b for a, b in zip(*last, strict=True)) == blocks
+    held = np.array([tree.leaf(i) for i in range(70_000_000, 70_000_200)])
+    assert held.sum(1).max() - held.sum(1).min() <= 30 and held[:, 0].mean() == pytest.approx(4e9 / shards, rel=0.05)
+    a, b = tree.placed(70_000_000), tree.placed(70_000_001)
+    assert tuple(x + y for x, y in zip(*a, strict=True)) == b[1]
+
+
+def test_large_draws_are_hypergeometric(monkeypatch):
+    monkeypatch.setattr(mixing, "NUMPY_MOST", 1)
+    rng = np.random.default_rng(2)
+    draws = np.array([draw_good(rng, 30, 70, 50) for _ in range(4000)])
+    assert draws.min() >= 0 and draws.max() <= 30
+    assert draws.mean() == pytest.approx(15, abs=0.15) and draws.var() == pytest.approx(50 * 0.3 * 0.7 * 50 / 99, rel=0.1)
+    big = np.array([draw_good(rng, 3_000_000_000, 7_000_000_000, 5_000_000_000) for _ in range(60)])
+    sd = (5e9 * 0.3 * 0.7 * 0.5) ** 0.5
+    assert abs(big.mean() - 1.5e9) < 5 * sd / 60**0.5 and 0.6 < big.std() / sd < 1.5
+    assert draw_good(rng, 5, 0, 3) == 3 and draw_good(rng, 0, 5, 3) == 0 and draw_good(rng, 5, 5, 0) == 0
+
+
 def test_quotas():
     q = {x.source: x for x in plan_quotas([("a", 0.5, 1), ("b", 0.3, 4), ("c", 0.2, 9)], {"a": 1000, "b": 100}, 64)}
     assert (q["a"].tokens, q["b"].tokens, q["c"].tokens) == (667, 400, 0)
