@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phasemill.operators.reach import neighbours
 from phasemill.operators.relational import in_intervals, range_join, with_last_flag
 from phasemill.schemas import BOUNDARY_TOLERANCE_S, EPS, LABELS
+from phasemill.session import materialize
 
 DRAWS = 1000
 
@@ -34,30 +38,37 @@ def match_count_error(pred: np.ndarray, true: np.ndarray, tol: float) -> tuple[i
 
 def greedy_counts(pred: np.ndarray, true: np.ndarray, tol: float) -> np.ndarray:
     """Most pairs of each row of sorted ``pred`` with sorted ``true``: the first free one in reach is taken, for all rows at once."""
-    n = pred.shape[1]
+    near, far = true - (tol + EPS), true + (tol + EPS)
+    first = np.stack([np.searchsorted(p, near, "left") for p in pred], 1)
+    beyond = np.stack([np.searchsorted(p, far, "right") for p in pred], 1)
     used, found = np.zeros(len(pred), int), np.zeros(len(pred), int)
-    for y in true:
-        first = np.maximum(used, (pred < y - (tol + EPS)).sum(1))
-        at = np.minimum(first, n - 1)
-        hit = (first < n) & (np.abs(pred[np.arange(len(pred)), at] - y) <= tol + EPS)
+    for a, z in zip(first, beyond, strict=True):
+        used = np.maximum(used, a)
+        hit = used < z
         found += hit
-        used = np.where(hit, first + 1, first)
+        used += hit
     return found
 
 
-def chance_scores(n_pred: int, true: np.ndarray, t0: float, t1: float, tol: float) -> dict[str, float]:
-    """Recall and precision by chance: of evenly spaced boundaries, and the mean of 1,000 seeded uniform sets."""
-    true = np.sort(np.asarray(true, float))
-    if n_pred == 0:
-        return {"uniform_recall": 0.0 if len(true) else np.nan, "uniform_precision": np.nan, "random_recall": 0.0 if len(true) else np.nan, "random_precision": np.nan}
-    even = np.linspace(t0, t1, n_pred + 2)[1:-1][None, :]
-    drawn = np.sort(np.random.default_rng(0).uniform(t0, t1, (DRAWS, n_pred)), axis=1)
-    out = {}
-    for name, sets in (("uniform", even), ("random", drawn)):
-        hits = greedy_counts(sets, true, tol)
-        out[f"{name}_recall"] = float(np.mean(hits / len(true))) if len(true) else np.nan
-        out[f"{name}_precision"] = float(np.mean(hits / n_pred))
-    return out
+BLOCK = 1 << 21  # numbers held at once
+
+
+def chance_hits(n_pred: int, true: np.ndarray, t0: float, t1: float, tol: float, part: int = 0, parts: int = 1) -> tuple[int, int]:
+    """Pairs that evenly spaced boundaries make (in the first part), and those of a part of the 1,000 seeded uniform sets, all together.
+
+    Each set is drawn by the one stream of random numbers, of which a part skips what others draw.
+    """
+    lo, hi = DRAWS * part // parts, DRAWS * (part + 1) // parts
+    if n_pred == 0 or len(true) == 0:
+        return 0, 0
+    even = int(greedy_counts(np.linspace(t0, t1, n_pred + 2)[1:-1][None, :], true, tol)[0]) if part == 0 else 0
+    rng, hits = np.random.default_rng(0), 0
+    rng.bit_generator.advance(lo * n_pred)  # a double takes one step
+    step = max(1, BLOCK // max(n_pred, len(true)))
+    for a in range(lo, hi, step):
+        drawn = np.sort(rng.uniform(t0, t1, (min(step, hi - a), n_pred)), axis=1)
+        hits += int(greedy_counts(drawn, true, tol).sum())
+    return even, hits
 
 
 def boundaries(segments: DataFrame, cycle: bool = False) -> DataFrame:
@@ -99,7 +110,7 @@ def boundary_metrics(events: DataFrame, truth: DataFrame, tol: float = BOUNDARY_
     scope = F.concat(F.lit("cycle"), F.col("cycle").cast("string")).alias("scope")
     tb, pb = boundaries(truth, cycle=True), boundaries(events)
     true = tb.select("take", F.lit("all").alias("scope"), "b").unionByName(tb.select("take", scope, "b"))
-    in_cycle = pb.join(cycles, "take").filter((F.col("b") >= F.col("a")) & (F.col("b") < F.col("z"))).select("take", scope, "b")
+    in_cycle = in_cycles(pb, cycles, "b").select("take", scope, "b")
     pred = pb.select("take", F.lit("all").alias("scope"), "b").unionByName(in_cycle)
     spans = truth.groupBy("take").agg(F.min("start_s").alias("t0"), F.max_by("end_s", "start_s").alias("t1"))
     scopes = spans.select("take", F.lit("all").alias("scope")).unionByName(cycles.select("take", scope)).join(spans, "take")
@@ -108,22 +119,32 @@ def boundary_metrics(events: DataFrame, truth: DataFrame, tol: float = BOUNDARY_
     rows = scopes.join(n_true, ["take", "scope"], "left").join(n_pred, ["take", "scope"], "left").join(matched(pred, true, tol), ["take", "scope"], "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     rows = rows.select("take", "scope", "t0", "t1", F.coalesce("bounds", F.array().cast("array<double>")).alias("bounds"), zero("n_pred").alias("n_pred"), zero("n_matched").alias("n_matched"), "total_error")
-    names = ["uniform_recall", "uniform_precision", "random_recall", "random_precision"]
+    # the sets of large scopes are spread over tasks; which task draws which changes nothing
+    parts = F.least(F.lit(20), F.floor((F.col("n_pred") + F.size("bounds")) / 2000) + 1).cast("int")
+    rows = materialize(rows, "bounds")
+    drawn = rows.select("take", "scope", "t0", "t1", "bounds", "n_pred", parts.alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).repartition("take", "scope", "part")
 
     def run(batches):
         for g in batches:
-            each = [chance_scores(int(r.n_pred), np.asarray(r.bounds), r.t0, r.t1, tol) for r in g.itertuples()]
-            yield g.assign(**{f"chance_{n}": [e[n] for e in each] for n in names})
+            each = [chance_hits(int(r.n_pred), np.asarray(r.bounds), r.t0, r.t1, tol, int(r.part), int(r.parts)) for r in g.itertuples()]
+            yield pd.DataFrame({"take": g["take"], "scope": g["scope"], "even": [e for e, _ in each], "random": [h for _, h in each]})
+
+    hits = drawn.mapInPandas(run, "take string, scope string, even long, random long").groupBy("take", "scope").agg(F.sum("even").alias("even"), (F.sum("random") / DRAWS).alias("random"))
+    out = rows.join(hits, ["take", "scope"]).withColumn("n_true", F.size("bounds").cast("long"))
+    none = F.col("n_pred") == 0
+    chance = [c for n, h in (("uniform", "even"), ("random", "random")) for c in (F.when(none, 0.0).otherwise(F.try_divide(h, "n_true")).alias(f"chance_{n}_recall"), F.try_divide(h, "n_pred").alias(f"chance_{n}_precision"))]
+    return out.select("take", "scope", "n_true", "n_pred", "n_matched", F.try_divide("n_matched", "n_true").alias("recall"), F.try_divide("n_matched", "n_pred").alias("precision"), F.when(F.col("n_matched") > 0, F.col("total_error") / F.col("n_matched")).alias("mae_matched_s"), (F.col("n_true") - F.col("n_matched")).alias("missed"), (F.col("n_pred") - F.col("n_matched")).alias("false_boundaries"), *chance)
+
 
-    schema = "take string, scope string, t0 double, t1 double, bounds array<double>, n_pred long, n_matched long, total_error double, " + ", ".join(f"chance_{n} double" for n in names)
-    out = rows.mapInPandas(run, schema).withColumn("n_true", F.size("bounds").cast("long"))
-    real = lambda c: F.when(~F.isnan(F.col(c)), F.col(c)).alias(c)
-    return out.select("take", "scope", "n_true", "n_pred", "n_matched", F.try_divide("n_matched", "n_true").alias("recall"), F.try_divide("n_matched", "n_pred").alias("precision"), F.when(F.col("n_matched") > 0, F.col("total_error") / F.col("n_matched")).alias("mae_matched_s"), (F.col("n_true") - F.col("n_matched")).alias("missed"), (F.col("n_pred") - F.col("n_matched")).alias("false_boundaries"), *[real(f"chance_{n}") for n in names])
+def in_cycles(points: DataFrame, cycles: DataFrame, point: str, slack: float = 0.0) -> DataFrame:
+    """Points with the ``cycle`` of their take that holds them, by time cells; cycles (``a`` to ``z``) are half open, longer by ``slack``."""
+    spans = cycles.select("take", "cycle", F.col("a").alias("start_s"), (F.col("z") + slack).alias("end_s"), F.lit(False).alias("is_last"))
+    return range_join(points, spans, ["take"], point, how="inner").drop("start_s", "end_s", "is_last")
 
 
-def label_frames(frames: DataFrame, events: DataFrame, truth: DataFrame, out_of_frame: DataFrame | None = None) -> DataFrame:
-    """``take, frame_idx, t, predicted_label, true_label, out_of_frame``; segments of a take must not overlap."""
-    points = frames.select("take", "frame_idx", "t").filter(F.col("t").isNotNull())
+def label_frames(frames: DataFrame, events: DataFrame, truth: DataFrame, out_of_frame: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``take, frame_idx, t, *keep, predicted_label, true_label, out_of_frame``; segments of a take must not overlap."""
+    points = frames.select("take", "frame_idx", "t", *keep).filter(F.col("t").isNotNull())
     for name, segments in (("predicted_label", events), ("true_label", truth)):
         seg = with_last_flag(segments.select("take", "label", "start_s", "end_s"), ["take"], "start_s")
         points = range_join(points, seg, ["take"], "t").withColumnRenamed("label", name).drop("start_s", "end_s", "is_last")
@@ -151,15 +172,14 @@ def scoped(labelled: DataFrame, truth: DataFrame) -> DataFrame:
     """Frames once per scope: ``all`` and ``cycleN`` without the out-of-frame ones, ``out_of_frame`` with those only. Cycles share their border frame."""
     cycles = truth.groupBy("take", "cycle").agg(F.min("start_s").alias("a"), F.max("end_s").alias("z"))
     inside = labelled.filter(~F.col("out_of_frame"))
-    cyc = inside.join(cycles, "take").filter((F.col("t") >= F.col("a")) & (F.col("t") < F.col("z") + EPS)).withColumn("scope", F.concat(F.lit("cycle"), F.col("cycle").cast("string"))).drop("a", "z", "cycle")
+    cyc = in_cycles(inside, cycles, "t", EPS).withColumn("scope", F.concat(F.lit("cycle"), F.col("cycle").cast("string"))).drop("cycle")
     parts = [inside.withColumn("scope", F.lit("all")), labelled.filter("out_of_frame").withColumn("scope", F.lit("out_of_frame")), cyc]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def tolerant_accuracy(scoped_frames: DataFrame, truth: DataFrame, tol: float = BOUNDARY_TOLERANCE_S) -> DataFrame:
     """Accuracy where a frame within ``tol`` of a true boundary of its scope may have the label of either side."""
-    w = Window.partitionBy("take").orderBy("start_s")
-    b = truth.withColumn("before", F.lag("label").over(w)).filter(F.col("before").isNotNull() | F.lit(False)).select("take", "cycle", F.col("start_s").alias("b"), "before", F.col("label").alias("after"))
+    b = neighbours(truth, ["take"], F.floor(F.col("start_s") / 600), ["start_s"], {"before": ("label", -1)}).filter(F.col("before").isNotNull()).select("take", "cycle", F.col("start_s").alias("b"), "before", F.col("label").alias("after"))
     b = b.select("take", F.explode(F.array(F.lit("all"), F.concat(F.lit("cycle"), F.col("cycle").cast("string")))).alias("scope"), "b", "before", "after")
     cell = lambda c: F.floor(c / 10.0)
     b = b.withColumn("cell", F.explode(F.sequence(cell(F.col("b") - tol - EPS), cell(F.col("b") + tol + EPS))))
@@ -172,10 +192,12 @@ def tolerant_accuracy(scoped_frames: DataFrame, truth: DataFrame, tol: float = B
 
 
 def full_scores(frames: DataFrame, events: DataFrame, truth: DataFrame, groups: Column | None = None, out_of_frame: DataFrame | None = None, tol: float = BOUNDARY_TOLERANCE_S) -> DataFrame:
-    """All scores per take and scope, in the column order of the serving table."""
-    rows = scoped(label_frames(frames, events, truth, out_of_frame), truth)
+    """All scores per take and scope, in the column order of the serving table. Frames are labelled once and written."""
+    events, truth = materialize(events.select("take", "label", "start_s", "end_s"), "events"), materialize(truth, "truth")
+    rows = scoped(materialize(label_frames(frames, events, truth, out_of_frame), "labelled"), truth)
     out = frame_metrics(rows, ["take", "scope"]).join(boundary_metrics(events, truth, tol), ["take", "scope"], "full").join(tolerant_accuracy(rows, truth, tol), ["take", "scope"], "left")
     group = groups if groups is not None else F.lit(None).cast("string")
+    # Names and order of the table's columns.
     names = ["n_true", "n_pred", "n_matched", "recall", "precision", "mae_matched_s", "missed", "false_boundaries", "chance_uniform_recall", "chance_uniform_precision", "chance_random_recall", "chance_random_precision"]
     zero = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_frames", "n_unlabelled")]
     labels = [x for lab in LABELS for x in (F.col(f"acc_{lab}"), F.coalesce(F.col(f"n_{lab}"), F.lit(0)).cast("long").alias(f"n_{lab}"))]

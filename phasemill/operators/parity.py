@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,3 +52,26 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows, with multiplicity, of one table that the other lacks; columns in the order of ``a``."""
     b = b.select(*a.columns)
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+
+
+def normalised(df: DataFrame) -> DataFrame:
+    """An export as a table again: names in lower case, columns of nothing but 'true' and 'false' in any case as booleans.
+
+    Whether a text column is such a one is told from all its rows; NULL and empty texts become NULL.
+    """
+    low = df.toDF(*[c.lower() for c in df.columns])
+    texts = [n for n, kind in low.dtypes if kind == "string"]
+    if not texts:
+        return low
+    word = lambda c: F.lower(F.trim(F.col(f"`{c}`")))
+    seen = low.agg(*[F.bool_and(word(c).isin("true", "false") | (word(c) == "")).alias(c) for c in texts]).first()
+    return low.withColumns({c: word(c).try_cast("boolean") for c in texts if seen[c]})
+
+
+def table_checks(expected: dict[str, DataFrame], actual: dict[str, DataFrame], plan: dict[str, tuple[Sequence[str], float, bool]]) -> DataFrame:
+    """A check per table of ``plan``, which gives its key, the tolerance of its doubles and whether rows beyond the expected are allowed."""
+    parts = []
+    for name, (key, tolerance, extra) in plan.items():
+        doubles = {n: tolerance for n, kind in expected[name].dtypes if kind in ("double", "float")}
+        parts.append(parity_check(name, expected[name], actual[name], key, doubles, allow_extra=extra))
+    return reduce(DataFrame.unionByName, parts)

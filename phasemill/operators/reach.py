@@ -49,3 +49,21 @@ def running_sum(df: DataFrame, entity: Sequence[str], shard: str, order: Sequenc
     before = F.sum("__whole").over(Window.partitionBy(*entity).orderBy(shard).rowsBetween(Window.unboundedPreceding, -1))
     shards = df.groupBy(*entity, shard).agg(F.sum(value).alias("__whole")).withColumn("__before", F.coalesce(before, F.lit(0))).drop("__whole")
     return df.withColumn("__inside", inside).join(shards, [*entity, shard]).withColumn(name, F.col("__inside") + F.col("__before")).drop("__inside", "__before")
+
+
+def running_max(df: DataFrame, entity: Sequence[str], shard: str, order: Sequence, value: str, name: str) -> DataFrame:
+    """Adds the greatest ``value`` of the entity's rows before each one, NULL for the first; by shards as :func:`running_sum`."""
+    before = Window.partitionBy(*entity, shard).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    over = F.max("__whole").over(Window.partitionBy(*entity).orderBy(shard).rowsBetween(Window.unboundedPreceding, -1))
+    shards = df.groupBy(*entity, shard).agg(F.max(value).alias("__whole")).withColumn("__before", over).drop("__whole")
+    return df.withColumn("__inside", F.max(value).over(before)).join(shards, [*entity, shard]).withColumn(name, F.greatest("__inside", "__before")).drop("__inside", "__before")
+
+
+def neighbours(df: DataFrame, entity: Sequence[str], shard, order: Sequence, columns: dict[str, tuple[str, int]]) -> DataFrame:
+    """Adds ``name`` for each ``name: (column, offset)``: the value so many rows ahead (back if negative) within the entity, cut into shards by the column ``shard``."""
+
+    def looked(part: DataFrame, by: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return part.withColumns({n: F.lead(c, k).over(w) if k > 0 else F.lag(c, -k).over(w) for n, (c, k) in columns.items()})
+
+    return bounded_reach(df.withColumn("__near_shard", shard), entity, "__near_shard", order, max(abs(k) for _, k in columns.values()), looked).drop("__near_shard")

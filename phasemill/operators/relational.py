@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phasemill.operators.reach import bounded_reach
+from phasemill.operators.reach import bounded_reach, running_sum
 from phasemill.schemas import EPS, LABELS
 
 SHARD = "__shard"
@@ -86,34 +86,54 @@ def range_join(points: DataFrame, segments: DataFrame, entity: Sequence[str], po
 
 
 def in_intervals(points: DataFrame, intervals: DataFrame, entity: Sequence[str], point: str, flag: str, cell: float = 10.0) -> DataFrame:
-    """Adds ``flag``: whether an interval of the entity holds the point, both bounds lowered by 1e-9."""
+    """Adds ``flag``: whether an interval of the entity holds the point, both bounds lowered by 1e-9.
+
+    Intervals are cut into the cells they touch and merged there, so that a point meets one of them
+    at most and one left join answers.
+    """
     spans = intervals.select(*entity, (F.col("start_s") - EPS).alias("__a"), (F.col("end_s") - EPS).alias("__b")).filter(F.col("__b") >= F.col("__a")).withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__a") / cell), F.floor(F.col("__b") / cell))))
-    keyed = points.withColumn("__cell", F.floor(F.col(point) / cell))
+    w = Window.partitionBy(*entity, "__cell").orderBy("__a", "__b")
+    reached = F.max("__b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("__new", F.when(F.col("__a") <= reached, 0).otherwise(1)).withColumn("__n", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = spans.groupBy(*entity, "__cell", "__n").agg(F.min("__a").alias("__a"), F.max("__b").alias("__b"))
     spans = spans.withColumnsRenamed({k: f"__e{i}" for i, k in enumerate(entity)}).withColumnRenamed("__cell", "__c2")
+    keyed = points.withColumn("__cell", F.floor(F.col(point) / cell))
     on = [F.col(k) == F.col(f"__e{i}") for i, k in enumerate(entity)] + [F.col("__cell") == F.col("__c2"), F.col(point) >= F.col("__a"), F.col(point) < F.col("__b")]
-    inside = keyed.join(spans, on, "left_semi").withColumn(flag, F.lit(True))
-    return inside.unionByName(keyed.join(spans, on, "left_anti").withColumn(flag, F.lit(False))).drop("__cell")
+    return keyed.join(spans, on, "left").withColumn(flag, F.col("__a").isNotNull()).select(*points.columns, flag)
 
 
-def asof_label(points: DataFrame, segments: DataFrame, entity: Sequence[str], point: str) -> DataFrame:
+def asof_label(points: DataFrame, segments: DataFrame, entity: Sequence[str], point: str, shard_width: float = 600.0) -> DataFrame:
     """The label of the last segment that starts at or before the point, NULL once it has ended.
 
     For contiguous segments the same as :func:`range_join`, in one sorted pass and without repeating
-    rows where segments overlap: both tables are united and the last segment is carried on. Per
-    entity; use :func:`range_join` where an entity is too large for a task.
+    rows where segments overlap: both tables are united and the last segment is carried on, within
+    time shards of the entity, and from shard to shard by one row each.
     """
-    seg = segments.select(*entity, F.col("start_s").alias("__t"), F.lit(0).alias("__k"), F.struct("label", "start_s", "end_s", "is_last").alias("__seg"))
+    shard = F.floor(F.col("__t") / shard_width).alias(SHARD)
+    seg = segments.select(*entity, F.col("start_s").alias("__t"), F.lit(0).alias("__k"), F.struct("start_s", "end_s", "label", "is_last").alias("__seg")).select("*", shard)
     kind = seg.schema["__seg"].dataType
-    pts = points.withColumns({"__t": F.col(point), "__k": F.lit(1), "__seg": F.lit(None).cast(kind)})
-    w = Window.partitionBy(*entity).orderBy("__t", "__k", F.col("__seg.end_s")).rowsBetween(Window.unboundedPreceding, 0)
-    both = pts.unionByName(seg, allowMissingColumns=True).withColumn("__at", F.last("__seg", ignorenulls=True).over(w)).filter("__k = 1")
+    pts = points.withColumns({"__t": F.col(point), "__k": F.lit(1), "__seg": F.lit(None).cast(kind)}).select("*", shard)
+    both = pts.unionByName(seg, allowMissingColumns=True)
+    w = Window.partitionBy(*entity, SHARD).orderBy("__t", "__k", F.col("__seg.end_s")).rowsBetween(Window.unboundedPreceding, 0)
+    # the last segment of a shard is its greatest by start and end
+    last = both.groupBy(*entity, SHARD).agg(F.max("__seg").alias("__last"))
+    v = Window.partitionBy(*entity).orderBy(SHARD).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("__carried", F.last("__last", ignorenulls=True).over(v)).drop("__last")
+    both = both.withColumn("__own", F.last("__seg", ignorenulls=True).over(w)).filter("__k = 1").join(carried, [*entity, SHARD], "left").withColumn("__at", F.coalesce("__own", "__carried"))
     holds = in_segment(F.col(point), F.col("__at.start_s"), F.col("__at.end_s"), F.col("__at.is_last"))
-    return both.withColumn("label_at", F.when(holds, F.col("__at.label"))).drop("__t", "__k", "__seg", "__at")
+    return both.withColumn("label_at", F.when(holds, F.col("__at.label"))).drop("__t", "__k", "__seg", "__own", "__carried", "__at", SHARD)
+
 
+def positioned(df: DataFrame, entity: Sequence[str], order: Sequence, name: str = "position", shard: Column | None = None) -> DataFrame:
+    """Row number within the entity from 0, to match tables keyed by a time whose last bit may differ.
 
-def positioned(df: DataFrame, entity: Sequence[str], order: Sequence, name: str = "position") -> DataFrame:
-    """Row number within the entity from 0, to match tables keyed by a time whose last bit may differ."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*entity).orderBy(*order)) - 1)
+    ``shard`` cuts entities too large for a task, in the order of ``order``; rows are then counted
+    within shards and over whole shards before.
+    """
+    if shard is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*entity).orderBy(*order)) - 1)
+    rows = running_sum(df.withColumns({SHARD: F.coalesce(shard.cast("long"), F.lit(-(1 << 62))), "__one": F.lit(1)}), entity, SHARD, order, "__one", name)
+    return rows.withColumn(name, (F.col(name) - 1).cast("int")).drop("__one", SHARD)
 
 
 def strictly_increasing(df: DataFrame, entity: Sequence[str], order: str, time: str, name: str, shard: Column) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import operator
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from phasemill.operators.reach import bounded_reach, running_sum
 from phasemill.operators.relational import SHARD, absorb_short_runs, islands, row_argmax
 from phasemill.schemas import LABELS, PROTOCOL, RuleParams
-from phasemill.session import materialize
+from phasemill.session import known, materialize
 
 CHUNK, HALO = 1 << 16, 1 << 10
 
@@ -124,20 +126,50 @@ def viterbi(logp: np.ndarray, stay: float = 0.0, following: float = 4.0, other:
     return state.result()
 
 
+# The rules of the labeller, of which the first whose tests all hold decides: tests of a
+# segment's features, labels of the segment before that are kept (or turned), and the label otherwise.
+_MOVES = {"REACH": "REACH", "RETRACT": "RETRACT"}
+RULES = [
+    ([("speed", ">", "moving_thr"), ("dp", "<", "zero")], {}, "RETRACT"),
+    ([("speed", ">", "moving_thr")], {}, "REACH"),
+    ([("p", "<", "p_home"), ("speed", "<", "still_thr")], {}, "REST"),
+    ([("p", "<", "p_home"), ("-dp", ">", "dp_min")], {}, "RETRACT"),
+    ([("p", "<", "p_home"), ("dp", ">", "dp_min")], {}, "REACH"),
+    ([("p", "<", "p_home")], {}, "REST"),
+    ([("p", "<=", "p_far"), ("-dp", ">", "dp_min")], _MOVES, "RETRACT"),
+    ([("p", "<=", "p_far")], _MOVES, "REACH"),
+    ([("d_ap", ">", "ap_delta")], {}, "RELEASE"),
+    ([("-d_ap", ">", "ap_delta")], {}, "GRASP"),
+    ([("aperture", "<", "ap_closed"), ("speed", "<", "still_thr")], {}, "HOLD"),
+    ([("aperture", "<", "ap_closed")], {}, "GRASP"),
+    ([], {"HOLD": "RELEASE", "RELEASE": "RELEASE"}, "REACH"),
+]
+_HOLDS = {"<": operator.lt, "<=": operator.le, ">": operator.gt}
+
+
+def _threshold(name: str, r: RuleParams) -> float:
+    return 0.0 if name == "zero" else getattr(r, name)
+
+
 def rule_label(speed: float, p: float, dp: float, aperture: float, d_ap: float, previous: str | None, r: RuleParams) -> str:
-    """Phase of a segment by thresholds: its speed first, then its place, then what the fingers do."""
-    direction = lambda tie: "RETRACT" if dp < -r.dp_min else "REACH" if dp > r.dp_min else tie
-    if speed > r.moving_thr:
-        return "RETRACT" if dp < 0 else "REACH"
-    if p < r.p_home:
-        return "REST" if speed < r.still_thr else direction("REST")
-    if p <= r.p_far:
-        return previous if previous in ("REACH", "RETRACT") else direction("REACH")
-    if abs(d_ap) > r.ap_delta:
-        return "GRASP" if d_ap < 0 else "RELEASE"
-    if aperture < r.ap_closed:
-        return "HOLD" if speed < r.still_thr else "GRASP"
-    return "RELEASE" if previous in ("HOLD", "RELEASE") else "REACH"
+    """:data:`RULES` for one segment at hand."""
+    values = {"speed": speed, "p": p, "dp": dp, "-dp": -dp, "aperture": aperture, "d_ap": d_ap, "-d_ap": -d_ap}
+    for tests, kept, label in RULES:
+        if all(_HOLDS[op](values[v], _threshold(limit, r)) for v, op, limit in tests):
+            return kept.get(previous, label)
+    raise AssertionError("the last rule has no tests")
+
+
+def rule_maps(r: RuleParams) -> Column:
+    """What :data:`RULES` make of each state before: an array of places in :data:`LABELS` from 1, the first for no label before. Unknown values pass no test."""
+    names = {"speed": "mean_speed", "p": "p_mean", "dp": "dp", "aperture": "mean_aperture", "d_ap": "d_ap"}
+    value = lambda v: -known(F.col(names[v[1:]])) if v[0] == "-" else known(F.col(names[v]))
+    place = lambda x: F.lit(LABELS.index(x) + 1)
+    out = F.lit(None)
+    for tests, kept, label in reversed(RULES):
+        each = F.array(*[place(kept.get(before, label)) for before in (None, *LABELS)])
+        out = F.when(reduce(lambda a, b: a & b, [_HOLDS[op](value(v), F.lit(_threshold(limit, r))) for v, op, limit in tests]), each).otherwise(out) if tests else each
+    return out
 
 
 def by_chunk(df: DataFrame, order: str, columns: Sequence[str], kernel: Callable[[pd.DataFrame], np.ndarray], chunk: int = CHUNK, halo: int = HALO) -> DataFrame:
@@ -222,21 +254,25 @@ def segment_features(df: DataFrame, segment: str = "segment") -> DataFrame:
     )
 
 
-def label_segments(features: DataFrame, r: RuleParams) -> DataFrame:
-    """Adds ``label`` to segments in order, each by :func:`rule_label` and the label before it.
+def label_segments(features: DataFrame, r: RuleParams, shard_width: int = 256) -> DataFrame:
+    """Adds ``label`` to segments in order, by :data:`RULES` and the label before.
 
-    The only state is the previous label, so an entity's task holds its segments, not its samples.
+    A segment maps each label before it to its own. Maps compose: each run of ``shard_width`` segments
+    is reduced to its map, these are followed through the take, one row per shard, and then each
+    shard is followed from the label it starts with. ``segment`` is an integer that orders the take.
     """
-    cols = ["mean_speed", "p_mean", "dp", "mean_aperture", "d_ap"]
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g, previous, out = g.sort_values("segment"), None, []
-        for row in g[cols].itertuples(index=False):
-            previous = rule_label(row[0], row[1], row[2], row[3], row[4], previous, r)
-            out.append(previous)
-        return g[["take", "segment"]].assign(label=out)
-
-    labels = features.select("take", "segment", *cols).groupBy("take").applyInPandas(run, "take string, segment long, label string")
+    follow = lambda maps, start: F.aggregate(maps, start, lambda s, m: F.element_at(m, s + 1))
+    # every state on the way, the first one aside
+    path = lambda maps, start: F.slice(F.aggregate(maps, F.array(start), lambda s, m: F.concat(s, F.array(F.element_at(m, F.element_at(s, -1) + 1)))), 2, 1 << 30)
+    in_order = lambda s: F.transform(F.array_sort(F.collect_list(s)), lambda x: x["m"])
+    rows = features.select("take", "segment", F.floor(F.col("segment") / shard_width).alias("__shard"), rule_maps(r).alias("m"))
+    shards = rows.groupBy("take", "__shard").agg(F.array_sort(F.collect_list("segment")).alias("segments"), in_order(F.struct("segment", "m")).alias("maps"))
+    shards = materialize(shards, "rules")
+    whole = F.transform(F.sequence(F.lit(0), F.lit(len(LABELS))), lambda s: follow(F.col("maps"), s))
+    takes = shards.select("take", "__shard", whole.alias("m")).groupBy("take").agg(F.array_sort(F.collect_list("__shard")).alias("at"), in_order(F.struct(F.col("__shard"), "m")).alias("maps"))
+    starts = takes.select("take", F.explode(F.arrays_zip("at", F.slice(F.concat(F.array(F.lit(0)), path(F.col("maps"), F.lit(0))), F.lit(1), F.size("at")).alias("start"))).alias("z")).select("take", F.col("z.at").alias("__shard"), F.col("z.start").alias("start"))
+    labels = shards.join(starts, ["take", "__shard"]).select("take", F.explode(F.arrays_zip("segments", path(F.col("maps"), F.col("start")).alias("states"))).alias("z"))
+    labels = labels.select("take", F.col("z.segments").alias("segment"), F.element_at(F.array(*[F.lit(x) for x in LABELS]), F.col("z.states")).alias("label"))
     return features.join(labels, ["take", "segment"])
 
 

@@ -8,12 +8,12 @@ from pyspark.sql import types as T
 
 from phasemill.operators import relational as R
 from phasemill.operators import signals as S
-from phasemill.operators.metrics import boundaries, boundary_metrics, confusion, frame_metrics, label_frames
+from phasemill.operators.metrics import boundaries, confusion, frame_metrics, label_frames
 from phasemill.operators.parity import parity_check, parity_counts, same_rows
 from phasemill.operators.quantiles import exact_quantiles
-from phasemill.operators.reach import bounded_reach
+from phasemill.operators.reach import bounded_reach, neighbours, running_max
 from phasemill.plans.governance import label_problems, label_template
-from phasemill.plans.serving import NAMED, accuracy_view, phase_columns, phases_view, serve_frames, signals_view
+from phasemill.plans.serving import accuracy_view, named, phase_columns, phases_view, serve_frames, signals_view
 from phasemill.schemas import LABELS, PHASE_NAMES, PROTOCOL
 from phasemill.session import missing, table
 
@@ -40,8 +40,8 @@ def truth(spark: SparkSession, d: str) -> DataFrame:
     """Usable manual labels without overlap: of those that overlap, the one that starts first."""
     rows = table(spark, d, "label_segments").filter((F.col("source") == "manual") & ~missing(F.col("start_s")) & ~missing(F.col("end_s")) & (F.col("end_s") > F.col("start_s")))
     rows = rows.select(F.lower(F.trim("take")).alias("take"), "cycle", F.upper(F.trim("label")).alias("label"), "start_s", "end_s", "source").filter(F.col("label").isin(LABELS)).distinct()
-    w = Window.partitionBy("take").orderBy("start_s", "end_s", "label", "cycle").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("__r", F.max("end_s").over(w)).filter(F.col("__r").isNull() | (F.col("start_s") >= F.col("__r") - 1e-9)).drop("__r")
+    rows = running_max(rows.withColumn("__shard", F.floor(F.col("start_s") / 600)), ["take"], "__shard", ["start_s", "end_s", "label", "cycle"], "end_s", "__r").drop("__shard")
+    return rows.filter(F.col("__r").isNull() | (F.col("start_s") >= F.col("__r") - 1e-9)).drop("__r")
 
 
 EVENTS = "ev AS (SELECT DISTINCT * REPLACE (upper(trim(label)) AS label) FROM phase_events)"
@@ -76,7 +76,7 @@ _PER_TAKE = "t AS (SELECT take, take_group, count(*) AS n_events, count(*) FILTE
 
 def _named(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return NAMED[name](events(spark, d))
+        return named(name, events(spark, d))
 
     run.__name__ = name
     return run
@@ -88,14 +88,13 @@ for _name, _text in NAMED_SQL.items():
 
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     """Frames as samples with detected phase, hand label and visibility; segments cut without overlap."""
-    pairs = label_frames(S.build_frames(table(spark, d, "raw_keypoints")), disjoint_events(spark, d), truth(spark, d))
-    return pairs.join(S.build_frames(table(spark, d, "raw_keypoints")).select("take", "frame_idx", "detected"), ["take", "frame_idx"])
+    return label_frames(S.build_frames(table(spark, d, "raw_keypoints")), disjoint_events(spark, d), truth(spark, d), keep=["detected"])
 
 
 def disjoint_events(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).filter(F.col("label").isNotNull()).select("take", "event_idx", "label", "start_s", "end_s")
-    w = Window.partitionBy("take").orderBy("start_s", "event_idx")
-    return rows.withColumn("end_s", F.least("end_s", F.coalesce(F.lead("start_s").over(w), F.col("end_s")))).filter("end_s > start_s")
+    rows = neighbours(rows, ["take"], F.floor(F.col("start_s") / 600), ["start_s", "event_idx"], {"__next": ("start_s", 1)})
+    return rows.withColumn("end_s", F.least("end_s", F.coalesce("__next", "end_s"))).filter("end_s > start_s").drop("__next")
 
 
 DISJOINT = "dis AS (SELECT take, event_idx, label, start_s, e AS end_s FROM (SELECT take, event_idx, label, start_s, least(end_s, coalesce(lead(start_s) OVER (PARTITION BY take ORDER BY start_s, event_idx), end_s)) AS e FROM ev WHERE label IS NOT NULL) WHERE e > start_s)"
@@ -109,7 +108,7 @@ pairs AS (SELECT f.take, f.frame_idx, f.t, f.detected, p.label AS predicted_labe
 @query(f"WITH {PAIRS} SELECT take, true_label AS label, count(*) AS n_samples, round(avg(CASE WHEN predicted_label = true_label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 3) AS agreement FROM pairs WHERE detected AND true_label IS NOT NULL GROUP BY take, true_label")
 def q5_prediction_agreement_by_label(spark: SparkSession, d: str) -> DataFrame:
     samples = _samples(spark, d).select("take", "predicted_label", F.col("true_label").alias("ground_truth_label"), (~F.col("detected")).alias("missing"))
-    return NAMED["q5_prediction_agreement_by_label"](samples)
+    return named("q5_prediction_agreement_by_label", samples)
 
 
 PLACE = f"list_position([{LABEL_LIST}], {{0}})"
@@ -309,7 +308,7 @@ def _savgol_sql(window: int, derivative: int) -> str:
 
 def _savgol_query(window: int, derivative: int):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        rows = R.positioned(_wrist_series(spark, d), ["take"], ["frame_idx"], "i")
+        rows = R.positioned(_wrist_series(spark, d), ["take"], ["frame_idx"], "i", F.col("shard"))
         rows = rows.join(rows.groupBy("take").agg(F.max("i").alias("z")), "take")
         out = S.savgol(rows, ["take"], "i", "z", {"smooth": ("v", derivative)}, window, F.floor(F.col("i") / 4096), 1 / 30)
         return out.select("take", "frame_idx", F.round("smooth", 8).alias("smooth"))
@@ -369,8 +368,8 @@ def parity_checks(spark: SparkSession, d: str) -> DataFrame:
 b AS (SELECT take, start_s, row_number() OVER (PARTITION BY take ORDER BY start_s NULLS FIRST, event_idx) - 1 AS position FROM (SELECT DISTINCT * EXCLUDE (published_at) FROM phase_events_wh))
 SELECT a.take, count(*) AS n, count(*) FILTER (b.take IS NULL) AS n_missing, count(*) FILTER (abs(a.start_s - b.start_s) > 1e-9) AS n_differ FROM a LEFT JOIN b ON a.take = b.take AND a.position = b.position GROUP BY a.take""")
 def positional_parity(spark: SparkSession, d: str) -> DataFrame:
-    a = R.positioned(table(spark, d, "phase_events").distinct(), ["take"], ["start_s", "event_idx"]).select("take", "position", "start_s")
-    b = R.positioned(table(spark, d, "phase_events_wh").drop("published_at").distinct(), ["take"], ["start_s", "event_idx"]).select("take", "position", F.col("start_s").alias("other"), F.lit(1).alias("met"))
+    a = R.positioned(table(spark, d, "phase_events").distinct(), ["take"], ["start_s", "event_idx"], shard=F.floor(F.col("start_s") / 600)).select("take", "position", "start_s")
+    b = R.positioned(table(spark, d, "phase_events_wh").drop("published_at").distinct(), ["take"], ["start_s", "event_idx"], shard=F.floor(F.col("start_s") / 600)).select("take", "position", F.col("start_s").alias("other"), F.lit(1).alias("met"))
     return a.join(b, ["take", "position"], "left").groupBy("take").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("met").isNull()).alias("n_missing"), F.count_if(F.abs(F.col("start_s") - F.col("other")) > 1e-9).alias("n_differ"))
 
 
@@ -428,8 +427,7 @@ def map_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {EVENTS}, p AS (SELECT take, label, lead(label) OVER (PARTITION BY take ORDER BY event_idx) AS nxt FROM ev WHERE label IS NOT NULL) SELECT take, count(*) AS n, count(*) FILTER (label || '>' || nxt NOT IN ({', '.join(repr(f'{a}>{b}') for a, b in PROTOCOL.items())})) AS n_off FROM p WHERE nxt IS NOT NULL GROUP BY take")
 def protocol_transitions(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("take").orderBy("event_idx")
-    p = events(spark, d).filter("label IS NOT NULL").withColumn("nxt", F.lead("label").over(w)).filter("nxt IS NOT NULL")
+    p = neighbours(events(spark, d).filter("label IS NOT NULL"), ["take"], F.floor(F.col("event_idx") / 4096), ["event_idx"], {"nxt": ("label", 1)}).filter("nxt IS NOT NULL")
     return p.groupBy("take").agg(F.count(F.lit(1)).alias("n"), F.count_if(R.lookup(PROTOCOL, F.col("label")) != F.col("nxt")).alias("n_off"))
 
 
@@ -455,12 +453,3 @@ def boundary_list(spark: SparkSession, d: str) -> DataFrame:
 def nan_to_null(spark: SparkSession, d: str) -> DataFrame:
     rows = R.nan_to_null(table(spark, d, "raw_keypoints"))
     return rows.agg(F.count_if(F.col("x").isNull()).alias("null_x"), F.count_if(F.col("handedness_score").isNull()).alias("null_score"), F.round(F.sum(F.when(F.col("x").between(-1, 2), F.col("x"))), 3).alias("sum_x"))
-
-
-@query(None)
-def boundary_match(spark: SparkSession, d: str) -> DataFrame:
-    """Boundary scores with chance baselines, per take and cycle."""
-    return boundary_metrics(disjoint_events(spark, d), truth(spark, d))
-
-
-

@@ -8,9 +8,10 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phasemill.operators.reach import neighbours
 from phasemill.schemas import CYCLE, LABELS, RUN_LOG
 
 
@@ -32,8 +33,9 @@ def label_problems(labels: DataFrame, last_times: DataFrame, cycles: DataFrame |
 
     ``last_times`` has take and last_s, the time of its last frame, ``cycles`` take and n_cycles.
     """
-    w = Window.partitionBy("take").orderBy("start_s")
-    rows = labels.withColumn("__before", F.lag("end_s").over(w)).withColumn("__first", F.row_number().over(w) == 1)
+    # looked at across shards of time; the first row of a take is the one with none before it
+    near = neighbours(labels.withColumn("__here", F.lit(1)), ["take"], F.floor(F.col("start_s") / 600), ["start_s"], {"__before": ("end_s", -1), "__prior": ("__here", -1)})
+    rows = near.withColumn("__first", F.col("__prior").isNull())
     unfilled = F.col("start_s").isNull() | F.col("end_s").isNull() | F.col("source").isNull()
     tests = {
         "unfilled rows": unfilled,
@@ -149,3 +151,62 @@ def score_report(scores: DataFrame) -> str:
             out += [f"\n## {group}\n", "| take | recall | precision | error s | frames | balanced | tolerant |", "|-|-|-|-|-|-|-|"]
         out.append(f"| {r['take']} | " + " | ".join(show(v) for v in r[2:]) + " |")
     return "\n".join(out)
+
+
+# Key, tolerance and allowance for extra rows of each stage and serving table that is compared with a saved one.
+STAGE_CHECKS = {
+    "frames": (["take", "frame_idx"], 1e-12, False), "signals": (["take", "position"], 1e-9, False), "posteriors": (["take", "position"], 1e-9, False),
+    "events": (["take", "event_idx"], 1e-12, False), "scores": (["take", "scope"], 1e-12, True),
+}
+SERVING_CHECKS = {
+    "events": (["take", "event_idx"], 1e-6, False), "signals": (["take", "sample_idx"], 1e-6, False), "frames": (["take", "frame_idx"], 1e-6, False), "ground_truth": (["take", "start_s"], 1e-6, False),
+    "takes": (["take"], 1e-6, False), "scores": (["take", "scope"], 1e-6, True), "raw_keypoints": (["take", "frame_idx", "keypoint_id"], 1e-6, False),
+}
+
+
+def worker_probe(spark: SparkSession, package: str = "phasemill", tasks: int | None = None) -> DataFrame:
+    """``check, status, detail``: whether workers import the package and run the driver's versions of Python, Spark and Arrow; a task per slot asks."""
+    import sys
+
+    import pyarrow
+    import pyspark
+
+    mine = {"python": sys.version.split()[0], "pyspark": pyspark.__version__, "pyarrow": pyarrow.__version__, package: "imported"}
+    slots = tasks or spark.sparkContext.defaultParallelism
+
+    def ask(batches):
+        import importlib
+        import sys
+
+        import pandas as pd
+        import pyarrow
+        import pyspark
+
+        for b in batches:
+            try:
+                importlib.import_module(package)
+                found = "imported"
+            except ImportError as e:
+                found = f"{type(e).__name__}: {e}"
+            theirs = {"python": sys.version.split()[0], "pyspark": pyspark.__version__, "pyarrow": pyarrow.__version__, package: found}
+            yield pd.DataFrame([(k, v) for _ in range(len(b)) for k, v in theirs.items()], columns=["name", "value"])
+
+    said = spark.range(0, slots, 1, slots).mapInPandas(ask, "name string, value string").groupBy("name").agg(F.array_sort(F.collect_set("value")).alias("values"))
+    wanted = spark.createDataFrame(list(mine.items()), "name string, want string")
+    return wanted.join(said, "name", "left").select(F.concat(F.lit("worker "), "name").alias("check"), F.when(F.col("values") == F.array("want"), "PASS").otherwise("FAIL").alias("status"), F.array_join("values", ", ").alias("detail"))
+
+
+def run_evidence(run_log: DataFrame) -> DataFrame:
+    """One row per run: ``run_id, run_at, n_checks, n_failed, failed, sha256`` of its checks, to keep beside what the run published."""
+    line = F.concat_ws("|", "check", "status", "detail")
+    return run_log.groupBy("run_id", "run_at").agg(F.count(F.lit(1)).alias("n_checks"), F.count_if(F.col("status") != "PASS").alias("n_failed"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("status") != "PASS", F.col("check")))), ", ").alias("failed"), F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"))
+
+
+def prepare_holdout(take: str, status: DataFrame, extract: Callable[[str], DataFrame], trained_on: list[str]) -> DataFrame:
+    """The recorded frames of a hold-out take, by the injected ``extract``; refused for takes trained on and for those locked or scored."""
+    if take in trained_on:
+        raise GovernanceError(f"{take} was trained on")
+    held = status.filter(F.col("take") == take).first()
+    if held is not None and held["status"] in ("locked", "scored"):
+        raise GovernanceError(f"{take} is {held['status']}")
+    return extract(take)

@@ -65,6 +65,17 @@ def posteriors(features: DataFrame, training: DataFrame, kind: str = "logreg", r
     return M.with_posteriors(features.withColumn("fold", M.fold_of(F.col("take"), folds or 1)), FEATURES, models, ["take", "sample_idx", "t"], "fold")
 
 
+def segment_posteriors(features: DataFrame, model: M.Logistic | M.Boosting) -> DataFrame:
+    """Class probabilities of every sample by a stored model (:func:`models.load`)."""
+    return M.with_posteriors(features, FEATURES, {None: model}, ["take", "sample_idx", "t"])
+
+
+def segment_frames(frames: DataFrame, model: M.Logistic | M.Boosting, window: int = 5, decode: Callable[[DataFrame, DataFrame], DataFrame] = G.decode_pelt) -> DataFrame:
+    """Events of any frames table by a stored model; nothing is fitted."""
+    sig = materialize(S.derive_signals(frames, SignalParams(smooth_win=window)), "signals")
+    return decode(materialize(segment_posteriors(S.build_features(sig), model), "posteriors"), take_ends(sig))
+
+
 def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> tuple[DataFrame, DataFrame]:
     sig = materialize(signals(spark, d), "signals")
     feats = materialize(S.build_features(sig), "features")
@@ -72,24 +83,25 @@ def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", rows: int = M
     return materialize(posteriors(feats, training, kind, rows, folds), "posteriors"), sig
 
 
-def motion_signals(spark: SparkSession, d: str) -> DataFrame:
-    return signals(spark, d)
-
-
-def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return S.build_features(materialize(signals(spark, d), "signals"))
+def rule_channels(sig: DataFrame) -> DataFrame:
+    """Signals with the gaps of what the rules read filled; takes without any value are left out."""
+    last = sig.groupBy("take").agg(F.max("sample_idx").alias("last_idx"))
+    return S.filled_by_index(sig.join(last, "take"), ["speed", "aperture", "p"]).filter("speed_full IS NOT NULL")
 
 
 def rule_events(spark: SparkSession, d: str) -> DataFrame:
-    """Changepoints of speed and aperture, each segment labelled by rules; neighbours of one label merged."""
+    """Changepoints of speed and aperture, each segment labelled by rules; neighbours of one label merged, with the features of the merged event."""
     sig = materialize(signals(spark, d), "signals")
-    last = sig.groupBy("take").agg(F.max("sample_idx").alias("last_idx"))
-    full = S.filled_by_index(sig.join(last, "take"), ["speed", "aperture", "p"]).filter("speed_full IS NOT NULL")
+    full = rule_channels(sig)
     segs = G.changepoints(G.scaled_channels(full, TUNED), "sample_idx", ["c0", "c1"], TUNED.pen, max(2, round(TUNED.min_size_s * 30)))
     segs = materialize(segs, "segments")
     labels = G.label_segments(G.segment_features(segs), TUNED).select("take", "segment", "label")
     one = [F.lit(1.0).alias(f"p_{x}") for x in LABELS]
-    return G.events_of(segs.join(labels, ["take", "segment"]).select("*", *one), take_ends(sig)).drop("mean_confidence")
+    found = materialize(G.events_of(segs.join(labels, ["take", "segment"]).select("*", *one), take_ends(sig)).drop("mean_confidence"), "events")
+    spans = with_last_flag(found.select("take", F.col("event_idx").alias("segment"), "start_s", "end_s"), ["take"], "segment")
+    held = range_join(full, spans, ["take"], "t", relative=False, how="inner").drop("start_s", "end_s", "is_last")
+    stats = G.segment_features(held).select("take", F.col("segment").alias("event_idx"), "mean_speed", "mean_aperture", "frac_missing")
+    return found.join(stats, ["take", "event_idx"], "left")
 
 
 def _decoded(decode: Callable, kind: str = "logreg") -> Callable[[SparkSession, str], DataFrame]:
@@ -168,6 +180,6 @@ def chance_baselines(spark: SparkSession, d: str) -> DataFrame:
     return out.select("take", "scope", *[c for c in out.columns if c.startswith("chance_")])
 
 
-QUERIES = {f.__name__: f for f in (motion_signals, feature_matrix, rule_events, lr_probs, boosted_probs, pipeline_scores, pipeline_serving, serving_signals, tableau_signals, penalty_grid, chance_baselines)}
+QUERIES = {f.__name__: f for f in (rule_events, lr_probs, boosted_probs, pipeline_scores, pipeline_serving, serving_signals, tableau_signals, penalty_grid, chance_baselines)}
 QUERIES |= {"pelt_events": pelt_events, "argmax_events": argmax_events, "grammar_events": grammar_events}
 ORACLES: dict[str, str] = {}

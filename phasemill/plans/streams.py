@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phasemill.plans.catalogue import TRUTH, truth
 from phasemill.plans.governance import manifest
 from phasemill.schemas import GROUND_TRUTH
-from phasemill.session import shared_dir, table
+from phasemill.session import scratch, table
 from phasemill.sources import sinks
 from phasemill.sources.landing import keypoint_violations, read_csv
 from phasemill.streaming.sessions import read_events, run_available, sessions
@@ -23,7 +21,7 @@ def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 def sink_partitions(spark: SparkSession, d: str) -> DataFrame:
     """Partitions written, replaced and read back."""
-    path = f"{shared_dir(spark)}/replace-{uuid.uuid4().hex}"
+    path = scratch(spark, "replace")
     rows = table(spark, d, "phase_events").distinct().withColumn("kind", F.coalesce("take_group", F.lit("none")))
     sinks.replace_partitions(rows, path, "kind")
     sinks.replace_partitions(rows.filter("kind = 'hard'"), path, "kind")
@@ -32,7 +30,7 @@ def sink_partitions(spark: SparkSession, d: str) -> DataFrame:
 
 def sink_csv(spark: SparkSession, d: str) -> DataFrame:
     """Labels through CSV and the fixed-schema reader."""
-    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    path = scratch(spark, "csv")
     sinks.write_csv(truth(spark, d).select(*GROUND_TRUTH.names), path)
     return read_csv(spark, path, GROUND_TRUTH, lineage=False)
 

@@ -20,6 +20,13 @@ MAX_GAP_FRAMES = 2
 BOUNDARY_TOLERANCE_S = 0.10
 EPS = 1e-9
 
+# Columns of the serving tables.
+EVENT_TABLE = {"take": "string", "take_group": "string", "event_idx": "long", "label": "string", "start_s": "double", "end_s": "double", "duration_s": "double", "n_frames": "long", "mean_speed": "double", "mean_aperture": "double", "mean_confidence": "double", "frac_missing": "double", "model_version": "string"}
+SIGNAL_TABLE = {"t": "t_s", "speed": "speed", "aperture": "aperture", "aperture_slope": "aperture_slope", "p": "progress", "dp": "progress_rate", "q": "offaxis", "dq": "offaxis_rate", "ydev": "height", "dy": "vertical_velocity", "missing": "missing", "interpolated": "interpolated", "predicted_label": "predicted_label", "ground_truth_label": "ground_truth_label", "sample_idx": "sample_idx"}
+FRAME_PARTS = {0: "wrist", 4: "thumb_tip", 8: "index_tip"}
+TAKE_FIGURES = {"frames_extracted": "n_frames", "last_timestamp_s": "duration_s", "mean_fps_from_timestamps": "mean_fps"}
+TAKE_TABLE = ["take", "take_group", "n_frames", "duration_s", "mean_fps", "frames_not_detected", "fraction_not_detected", "left_handedness_frames", "n_ground_truth_segments", "n_events"]
+
 _D, _L, _S = T.DoubleType(), T.LongType(), T.StringType()
 
 
@@ -34,6 +41,7 @@ TAKE_META = _struct(take=_S, frames_extracted=_L, nominal_fps=_D, last_timestamp
 RUN_LOG = _struct(run_id=_S, run_at=T.TimestampType(), check=_S, status=_S, detail=_S)
 
 
+# Defaults of signals and rules.
 @dataclass(frozen=True)
 class SignalParams:
     smooth_win: int = 7

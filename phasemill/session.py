@@ -6,10 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from phasemill.functions.values import known, missing, ms_of
+
+__all__ = ["known", "local_session", "materialize", "missing", "ms_of", "release", "scratch", "shared_dir", "table"]
 
 
 def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -57,7 +59,7 @@ _written: list[str] = []
 
 
 def release(spark: SparkSession) -> int:
-    """Delete what this process has materialized; results that still read it can't be computed again."""
+    """Delete what this process has written to the shared folder; results that still read it can't be computed again."""
     jvm, n = spark.sparkContext._jvm, len(_written)
     while _written:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
@@ -65,42 +67,19 @@ def release(spark: SparkSession) -> int:
     return n
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A path of its own in the shared folder, deleted by :func:`release`."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, and keeps a result that several
     branches read from being computed once per branch.
     """
-    path = f"{shared_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, what)
     df.write.parquet(path)
-    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def missing(c: Column) -> Column:
-    """True where a double is NULL or NaN."""
-    return c.isNull() | F.isnan(c)
-
-
-def known(c: Column) -> Column:
-    """A double with NaN turned into NULL."""
-    return F.when(~F.isnan(c), c)
-
-
-def ms_of(seconds: Column) -> Column:
-    """Milliseconds of a time in seconds, half up; NULL for a missing or non-finite time."""
-    s = seconds.cast("double")
-    return F.when(F.abs(s) < F.lit(9.0e12), F.floor(s * 1000 + 0.5)).cast("long")
-
-
-def fresh(df: DataFrame, names: Sequence[str]) -> None:
-    """Refuse inputs whose columns clash with the working names an operator adds."""
-    clash = sorted({c.lower() for c in df.columns} & {n.lower() for n in names})
-    if clash:
-        raise ValueError(f"columns reserved by the operator: {clash}")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phasemill.session import shared_dir
+from phasemill.session import scratch
 
 EVENT_STREAM = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
@@ -32,7 +30,7 @@ def sessions(events: DataFrame, gap: str = "6 hours", late: str = "1 day") -> Da
 def run_available(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Process what is there, then stop: each batch replaces (complete) or extends (append) a table in the shared folder."""
     spark = stream.sparkSession
-    root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    root = scratch(spark, name)
 
     def sink(batch: DataFrame, epoch: int) -> None:
         # one folder per epoch: a batch that is run again replaces its own
