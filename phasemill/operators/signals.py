@@ -220,20 +220,21 @@ def build_features(signals: DataFrame) -> DataFrame:
     full = full.withColumn("speed", F.sqrt(F.greatest("speed", F.lit(0.0)))).withColumn(SHARD, F.floor(F.col("sample_idx") / GRID_SHARD))
 
     def rolled(part: DataFrame, by: list[str]) -> DataFrame:
-        w, whole = Window.partitionBy(*by).orderBy("sample_idx"), Window.partitionBy(*by)
-        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        # as SQL texts: there are hundreds of window expressions
+        whole = f"PARTITION BY {', '.join(by)}"
+        over, upto = f"OVER ({whole} ORDER BY sample_idx)", f"OVER ({whole} ORDER BY sample_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        near = lambda n: f"OVER ({whole} ORDER BY sample_idx ROWS BETWEEN {n} PRECEDING AND {n} FOLLOWING)"
         # a mean is a difference of running sums: its cost doesn't grow with the window, as a sliding frame's does
-        part = part.withColumns({"__i": F.row_number().over(w), "__n": F.count(F.lit(1)).over(whole)} | {f"__s_{c}": F.sum(c).over(upto) for c in BASE} | {f"__t_{c}": F.sum(c).over(whole) for c in BASE})
+        part = part.select("*", F.expr(f"row_number() {over} AS __i"), F.expr(f"count(1) OVER ({whole}) AS __n"), *[F.expr(f"sum({c}) {upto} AS __s_{c}") for c in BASE], *[F.expr(f"sum({c}) OVER ({whole}) AS __t_{c}") for c in BASE])
 
-        def mean(c: str, back: int, ahead: int) -> Column:
-            high = F.coalesce(F.lead(f"__s_{c}", ahead).over(w), F.col(f"__t_{c}")) if ahead else F.col(f"__s_{c}")
-            low = F.coalesce(F.lag(f"__s_{c}", back + 1).over(w), F.lit(0.0))
-            return (high - low) / (F.least(F.col("__i") + ahead, F.col("__n")) - F.greatest(F.col("__i") - back, F.lit(1)) + 1)
+        def mean(c: str, back: int, ahead: int) -> str:
+            high = f"coalesce(lead(__s_{c}, {ahead}) {over}, __t_{c})" if ahead else f"__s_{c}"
+            return f"({high} - coalesce(lag(__s_{c}, {back + 1}) {over}, 0.0D)) / (least(__i + {ahead}, __n) - greatest(__i - {back}, 1) + 1)"
 
         out = {f"{c}_m{n}": mean(c, n, n) for c in BASE for n in MEAN_WINDOWS}
-        out |= {f"{c}_trend{n}": mean(c, 0, n - 1) - mean(c, n - 1, 0) for c in TREND_CHANNELS for n in TREND_WINDOWS}
-        out |= {"speed_max8": F.max("speed").over(w.rowsBetween(-8, 8)), "speed_std8": F.coalesce(F.stddev_samp("speed").over(w.rowsBetween(-8, 8)), F.lit(0.0)), "ap_min20": F.min("aperture").over(w.rowsBetween(-20, 20))}
-        return part.withColumns(out)
+        out |= {f"{c}_trend{n}": f"{mean(c, 0, n - 1)} - {mean(c, n - 1, 0)}" for c in TREND_CHANNELS for n in TREND_WINDOWS}
+        out |= {"speed_max8": f"max(speed) {near(8)}", "speed_std8": f"coalesce(stddev_samp(speed) {near(8)}, 0.0D)", "ap_min20": f"min(aperture) {near(20)}"}
+        return part.select("*", *[F.expr(f"{e} AS `{n}`") for n, e in out.items()])
 
     return bounded_reach(full, ["take"], SHARD, ["sample_idx"], max(MEAN_WINDOWS), rolled).select("take", "sample_idx", "t", *feature_names())
 

@@ -233,6 +233,16 @@ def row_digests(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "phase_events").groupBy("take_group").agg(F.bit_xor(F.conv(F.substring(h, 1, 15), 16, 10).cast("long")).alias("digest"), F.count(F.lit(1)).alias("n"))
 
 
+MANIFEST = ("takes", "phase_events", "phase_events_wh", "scores_full", "scores_full_wh", "tableau_phases", "label_segments", "raw_keypoints", "documents", "mix_targets")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS n_rows, (SELECT string_agg(column_name, ',') FROM (DESCRIBE {n})) AS columns, 64::INTEGER AS digits" for n in MANIFEST))
+def manifest_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest of all tables: rows, columns, and the length of the hash, which SQL can't compute."""
+    rows = V.manifest({n: table(spark, d, n) for n in MANIFEST})
+    return rows.select(F.col("table").alias("table_name"), F.col("rows").alias("n_rows"), "columns", F.length("sha256").alias("digits"))
+
+
 @query("""SELECT * FROM (VALUES ('same rows in another order', true), ('one value changed', false), ('one row twice', false)) v(change, same)""")
 def table_hashes(spark: SparkSession, d: str) -> DataFrame:
     """The hash of a table's content doesn't hang on the order of rows, but on each value and row."""

@@ -61,7 +61,7 @@ def content_hash(df: DataFrame) -> DataFrame:
     Each row is hashed; the hashes are combined by xor and by sum of their words, both of which merge
     on the map side, and the row count joins in.
     """
-    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
+    row = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"}), 256)
     words = [F.conv(F.substring("h", 1 + 15 * i, 15), 16, 10).cast("long") for i in range(4)]
     agg = df.select(row.alias("h")).select(*[w.alias(f"w{i}") for i, w in enumerate(words)]).agg(F.count(F.lit(1)).alias("rows"), *[F.bit_xor(f"w{i}").alias(f"x{i}") for i in range(4)], *[F.sum(F.col(f"w{i}").cast("decimal(38,0)")).alias(f"s{i}") for i in range(4)])
     return agg.select("rows", F.sha2(F.concat_ws(",", "rows", *[f"x{i}" for i in range(4)], *[f"s{i}" for i in range(4)]), 256).alias("sha256"))

@@ -50,11 +50,16 @@ def training_samples(features: DataFrame, frames: DataFrame, labels: DataFrame,
     """
     columns = ["origin", "take", "sample_idx", "label", *FEATURES]
     own = labelled_samples(features, labels).withColumn("origin", F.col("take")).select(*columns)
-    fast, segments = S.time_scaled(frames.join(labels.select("take").distinct(), "take", "left_semi"), labels, FASTER)
-    names = labels.select(F.col("take").alias("origin")).distinct().withColumn("factor", F.explode(F.array(*[F.lit(float(f)) for f in FASTER])))
-    names = names.select("origin", S.copy_name(F.col("origin"), F.col("factor")).alias("take"))
-    copies = S.build_features(materialize(S.derive_signals(fast, SignalParams(smooth_win=window)), "fast_signals"))
-    return own.unionByName(labelled_samples(copies, segments).join(names, "take").select(*columns))
+    fast, segments = faster(frames, labels)
+    origins = fast.select("take", "origin").distinct()
+    copies = S.build_features(materialize(S.derive_signals(fast.drop("origin"), SignalParams(smooth_win=window)), "fast_signals"))
+    return own.unionByName(labelled_samples(copies, segments).join(origins, "take").select(*columns))
+
+
+def faster(frames: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Copies of the labelled takes performed faster: frames with the ``origin`` they copy, and labels."""
+    fast, segments = S.time_scaled(frames.withColumn("origin", F.col("take")).join(labels.select("take").distinct(), "take", "left_semi"), labels, FASTER)
+    return fast.drop("factor"), segments.select("take", "label", "start_s", "end_s")
 
 
 def posteriors(features: DataFrame, training: DataFrame, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> DataFrame:
@@ -77,10 +82,17 @@ def segment_frames(frames: DataFrame, model: M.Logistic | M.Boosting, window: in
 
 
 def _posteriors(spark: SparkSession, d: str, kind: str = "logreg", rows: int = M.SAMPLE_ROWS, folds: int = 0) -> tuple[DataFrame, DataFrame]:
-    sig = materialize(signals(spark, d), "signals")
+    """Posteriors and signals of the takes. Takes and the copies to train on go through signals and features together."""
+    frames, labels = usable_frames(spark, d), materialize(truth(spark, d), "truth")
+    fast, segments = faster(frames, labels)
+    every = frames.withColumn("origin", F.col("take")).unionByName(fast.select(*frames.columns, "origin"))
+    origins = materialize(every.select("take", "origin").distinct(), "origins")  # one row per take and copy
+    sig = materialize(S.derive_signals(every.drop("origin"), SignalParams(smooth_win=5)), "signals")
     feats = materialize(S.build_features(sig), "features")
-    training = training_samples(feats, usable_frames(spark, d), materialize(truth(spark, d), "truth"))
-    return materialize(posteriors(feats, training, kind, rows, folds), "posteriors"), sig
+    training = labelled_samples(feats, labels.select("take", "label", "start_s", "end_s").unionByName(segments)).join(origins, "take")
+    own = origins.filter("take = origin").select("take")
+    post = posteriors(feats.join(own, "take", "left_semi"), training.select("origin", "take", "sample_idx", "label", *FEATURES), kind, rows, folds)
+    return materialize(post, "posteriors"), sig.join(own, "take", "left_semi")
 
 
 def rule_channels(sig: DataFrame) -> DataFrame:

@@ -291,8 +291,21 @@ def pelt_cost(spark: SparkSession, d: str) -> DataFrame:
     return segment_cost(marked.join(held, "take", "left_semi"), _P, 1.0)
 
 
-# ---- segments ----
 _RULE_FULL = _by_index("rf", "sig", ["speed", "aperture", "p"], "take, sample_idx, t, missing")
+_SCALED = f"SELECT take, row_number() OVER (PARTITION BY take ORDER BY sample_idx) - 1 AS i, sqrt(greatest(speed_full, 0.0)) / {TUNED.speed_scale!r}::DOUBLE AS c0, aperture_full / {TUNED.ap_scale!r}::DOUBLE AS c1 FROM rf WHERE speed_full IS NOT NULL"
+
+
+@query(f"WITH RECURSIVE {SIGNALS}, {_RULE_FULL}, pc AS ({_SCALED}), {_pelt_sql(['c0', 'c1'], TUNED.pen, max(2, round(TUNED.min_size_s * 30)))}")
+def rule_cost(spark: SparkSession, d: str) -> DataFrame:
+    """What the changepoints of speed and aperture cost: no other set costs less."""
+    full = P.rule_channels(materialize(P.signals(spark, d), "signals"))
+    size = max(2, round(TUNED.min_size_s * 30))
+    marked = G.changepoints(G.scaled_channels(full, TUNED), "sample_idx", ["c0", "c1"], TUNED.pen, size)
+    held = marked.groupBy("take").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= size).select("take")
+    return segment_cost(marked.join(held, "take", "left_semi"), ["c0", "c1"], TUNED.pen)
+
+
+# ---- segments ----
 RULE_SEGMENTS = f"""{C.EVENTS}, {C.DISJOINT}, {_RULE_FULL},
 sl AS (SELECT *, start_s = max(start_s) OVER (PARTITION BY take) AS is_last FROM dis),
 sd AS (SELECT r.*, s.event_idx AS segment FROM rf r JOIN sl s ON r.take = s.take AND {C.LABEL_AT.format(p='r', s='s')} WHERE speed_full IS NOT NULL),

@@ -7,11 +7,30 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from phasemill.plans import catalogue, quality, streams
+from phasemill.plans import catalogue, exchange, pipeline, quality, stages, streams
 
 D = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
-CORE = [n for m in (quality, catalogue, streams) for n in m.QUERIES]
+CORE = [n for m in (quality, catalogue, stages, exchange, pipeline, streams) for n in m.QUERIES]
+
+
+@pytest.fixture(autouse=True, scope="module")
+def shared_signals():
+    """Signals, and probabilities by kind and folds, are the same in all queries here: computed once."""
+    made, patch = {}, pytest.MonkeyPatch()
+    for name in ("signals", "_posteriors"):
+        once = getattr(pipeline, name)
+
+        def run(spark, d, *a, once=once, name=name, **k):
+            key = (name, d, a, tuple(k.items()))
+            if key not in made:
+                out = once(spark, d, *a, **k)
+                made[key] = pipeline.materialize(out, "kept") if name == "signals" else out
+            return made[key]
+
+        patch.setattr(pipeline, name, run)
+    yield
+    patch.undo()
 
 
 @pytest.fixture(scope="module")
