@@ -39,6 +39,7 @@ class PrefixBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
         self.ranks = ranks
+        self.pieces = {rank: token for token, rank in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.size = max(ranks.values()) + 1
         self.length = [0] * self.size
@@ -274,3 +275,17 @@ def encode_corpus(df: DataFrame, keys: Sequence[str], text: str, name: str = "by
                 yield flushed(b.num_rows)
 
     return kept.mapInArrow(run, schema)
+
+
+def decode_corpus(df: DataFrame, keys: Sequence[str], ids: str, name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
+    """``(*keys, text)``: the texts that encodings stand for; a NULL list gives the empty text. Bytes that aren't UTF-8 become replacement characters."""
+    kept = df.select(*keys, F.col(ids).alias("__ids"))
+    schema = T.StructType([*[f for f in kept.schema.fields if f.name != "__ids"], T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = load_bpe(name, folder).pieces
+        for b in batches:
+            texts = [b"".join([pieces[i] for i in x or ()]).decode(errors="replace") for x in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
+
+    return kept.mapInArrow(run, schema)
