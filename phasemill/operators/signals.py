@@ -87,6 +87,13 @@ def resample(channels: DataFrame, bounds: DataFrame, names: Sequence[str], max_g
     return points.groupBy("take", "sample_idx").agg(*[F.max(F.when(F.col("name") == x, F.col("value"))).alias(x) for x in names])
 
 
+def _each(df: DataFrame, lo: Column, hi: Column, name: str = "k") -> DataFrame:
+    """Rows repeated for each integer from ``lo`` to ``hi``, by shards first: no row ever holds the array of a long stretch."""
+    cut = df.withColumns({"__lo": lo.cast("long"), "__hi": hi.cast("long")}).withColumn("__piece", F.explode(F.sequence(F.floor(F.col("__lo") / GRID_SHARD), F.floor(F.col("__hi") / GRID_SHARD))))
+    ends = F.greatest("__lo", F.col("__piece") * GRID_SHARD), F.least("__hi", (F.col("__piece") + 1) * GRID_SHARD - 1)
+    return cut.withColumn(name, F.explode(F.sequence(*ends))).drop("__lo", "__hi", "__piece")
+
+
 def filled_by_index(grid: DataFrame, names: Sequence[str]) -> DataFrame:
     """Adds ``<name>_full``: NULLs linear in the index between known points, constant beyond the first and last.
 
@@ -96,10 +103,10 @@ def filled_by_index(grid: DataFrame, names: Sequence[str]) -> DataFrame:
     tall = grid.select("take", "sample_idx", "last_idx", F.explode(F.filter(pairs, lambda x: x["v"].isNotNull())).alias("c")).select("take", "sample_idx", "last_idx", "c.*")
     spans = _spans(tall, ["take", "name"], "sample_idx", ["sample_idx", "v"], F.floor(F.col("sample_idx") / GRID_SHARD))
     i, j = F.col("sample_idx"), F.col("next_sample_idx")
-    inner = spans.filter(j - i > 1).withColumn("k", F.explode(F.sequence(i + 1, j - 1))).select("take", "name", "k", (F.col("v") + (F.col("next_v") - F.col("v")) / (j - i) * (F.col("k") - i)).alias("full"))
-    tail = spans.filter(j.isNull() & (i < F.col("last_idx"))).withColumn("k", F.explode(F.sequence(i + 1, F.col("last_idx")))).select("take", "name", "k", F.col("v").alias("full"))
+    inner = _each(spans.filter(j - i > 1), i + 1, j - 1).select("take", "name", "k", (F.col("v") + (F.col("next_v") - F.col("v")) / (j - i) * (F.col("k") - i)).alias("full"))
+    tail = _each(spans.filter(j.isNull() & (i < F.col("last_idx"))), i + 1, F.col("last_idx")).select("take", "name", "k", F.col("v").alias("full"))
     first = tall.groupBy("take", "name").agg(F.min("sample_idx").alias("i"), F.min_by("v", "sample_idx").alias("full"))
-    head = first.filter("i > 0").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("i") - 1))).select("take", "name", "k", "full")
+    head = _each(first.filter("i > 0"), F.lit(0), F.col("i") - 1).select("take", "name", "k", "full")
     guesses = inner.unionByName(tail).unionByName(head).groupBy("take", F.col("k").alias("sample_idx")).agg(*[F.max(F.when(F.col("name") == n, F.col("full"))).alias(f"__{n}") for n in names])
     both = grid.join(guesses, ["take", "sample_idx"], "left")
     return both.withColumns({f"{n}_full": F.coalesce(F.col(n), F.col(f"__{n}")) for n in names}).drop(*[f"__{n}" for n in names])
@@ -166,7 +173,7 @@ def derive_signals(frames: DataFrame, params: SignalParams = SignalParams()) ->
     flags = native.filter("was_gap").select("take", "t", F.lit(True).alias("flag"))
     spans = _spans(native.select("take", "t").distinct(), ["take"], "t", ["t"], F.floor(F.col("t") / 120)).join(bounds, "take").join(flags.withColumnRenamed("t", "next_t").distinct(), ["take", "next_t"])
     lo, hi = F.floor((F.col("t") - F.col("t0")) * GRID_HZ), F.floor((F.col("next_t") - F.col("t0")) * GRID_HZ) + 1
-    flagged = spans.withColumn("sample_idx", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi))).withColumn("g", F.col("t0") + F.col("sample_idx") / float(GRID_HZ)).filter((F.col("g") > F.col("t")) & (F.col("g") <= F.col("next_t"))).select("take", "sample_idx", F.lit(True).alias("flag")).distinct()
+    flagged = _each(spans, F.greatest(lo, F.lit(0)), hi, "sample_idx").withColumn("g", F.col("t0") + F.col("sample_idx") / float(GRID_HZ)).filter((F.col("g") > F.col("t")) & (F.col("g") <= F.col("next_t"))).select("take", "sample_idx", F.lit(True).alias("flag")).distinct()
     grid = grid.join(flagged, ["take", "sample_idx"], "left").withColumn("missing", F.col("X").isNull() | F.col("Y").isNull() | F.col("ap").isNull()).withColumn("interpolated", F.coalesce("flag", F.lit(False)) & ~F.col("missing")).drop("flag")
     # written, since every pass by shards and edges below would otherwise resample again
     grid = materialize(grid, "grid")
