@@ -36,11 +36,16 @@ def match_count_error(pred: np.ndarray, true: np.ndarray, tol: float) -> tuple[i
     return int(count[-1]), float(error[-1])
 
 
+SMALL = 4096
+
+
 def greedy_counts(pred: np.ndarray, true: np.ndarray, tol: float) -> np.ndarray:
     """Most pairs of each row of sorted ``pred`` with sorted ``true``: the first free one in reach is taken, for all rows at once."""
     near, far = true - (tol + EPS), true + (tol + EPS)
-    first = np.stack([np.searchsorted(p, near, "left") for p in pred], 1)
-    beyond = np.stack([np.searchsorted(p, far, "right") for p in pred], 1)
+    if pred.shape[1] * len(true) <= SMALL:  # the same counts, without a search per row
+        first, beyond = (pred[:, :, None] < near).sum(1).T, (pred[:, :, None] <= far).sum(1).T
+    else:
+        first, beyond = (np.stack([np.searchsorted(p, at, side) for p in pred], 1) for at, side in ((near, "left"), (far, "right")))
     used, found = np.zeros(len(pred), int), np.zeros(len(pred), int)
     for a, z in zip(first, beyond, strict=True):
         used = np.maximum(used, a)
