@@ -214,6 +214,11 @@ def serving_parity(spark: SparkSession, d: str) -> DataFrame:
     return checks.withColumnRenamed("check", "name")
 
 
+# of the catalogue's query
+ORACLES["parity_checks"] = f"""WITH {_counted('scores_full', 'scope', SCORE_FIELDS, 1e-12, 's')} SELECT 'scores' AS "check", {_detail('s', SCORE_FIELDS, _SCORE_ORDER, False)}
+UNION ALL SELECT 'scores with itself', 'PASS', count(*) || ' rows, missing 0, extra 0' FROM (SELECT DISTINCT * FROM scores_full)"""
+
+
 @query("SELECT count(*) AS n_expected, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, CAST(0 AS BIGINT) AS diff_detected, CAST(0 AS BIGINT) AS diff_x FROM (SELECT DISTINCT take, frame_idx, keypoint_id, detected, x FROM raw_keypoints)")
 def export_check(spark: SparkSession, d: str) -> DataFrame:
     """A BI export (rows in any order, names in capitals, booleans as words) against its table."""
