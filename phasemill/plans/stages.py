@@ -298,9 +298,8 @@ _SCALED = f"SELECT take, row_number() OVER (PARTITION BY take ORDER BY sample_id
 @query(f"WITH RECURSIVE {SIGNALS}, {_RULE_FULL}, pc AS ({_SCALED}), {_pelt_sql(['c0', 'c1'], TUNED.pen, max(2, round(TUNED.min_size_s * 30)))}")
 def rule_cost(spark: SparkSession, d: str) -> DataFrame:
     """What the changepoints of speed and aperture cost: no other set costs less."""
-    full = P.rule_channels(materialize(P.signals(spark, d), "signals"))
-    size = max(2, round(TUNED.min_size_s * 30))
-    marked = G.changepoints(G.scaled_channels(full, TUNED), "sample_idx", ["c0", "c1"], TUNED.pen, size)
+    marked = materialize(P.rule_segments(materialize(P.signals(spark, d), "signals")), "segments")
+    size = P.rule_size(TUNED)
     held = marked.groupBy("take").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= size).select("take")
     return segment_cost(marked.join(held, "take", "left_semi"), ["c0", "c1"], TUNED.pen)
 

@@ -75,3 +75,22 @@ def test_decoders_of_whole_takes_are_those_of_shards(spark):
         every = P.materialize(G.decode_penalties(post, ends, P.PENALTIES, limit=limit), "every")
         for penalty in (0.25, 8.0):
             same(every.filter(F.col("penalty") == penalty).drop("penalty"), G.decode_pelt(post, ends, penalty), ["take", "event_idx"])
+
+
+def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
+    _, sig, _ = parts
+    same(P.rule_segments(sig), P.rule_segments(sig, limit=0), ["take", "sample_idx"])
+    same(P.rule_events_of(sig), P.rule_events_of(sig, limit=0), ["take", "event_idx"])
+
+
+def test_rule_events_are_one_pass_over_the_signals(spark, monkeypatch):
+    written, write = [], P.materialize
+
+    def spy(df, what):
+        written.append(what)
+        return write(df, what)
+
+    for module in (P, S, G):
+        monkeypatch.setattr(module, "materialize", spy)
+    assert P.rule_events(spark, SF).count() > 0
+    assert written == ["native", "sizes", "signals"]
