@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from phasemill.operators import models as M
 from phasemill.operators import segmentation as G
 from phasemill.operators import signals as S
+from phasemill.operators.metrics import full_scores, objective
 from phasemill.plans import pipeline as P
 from phasemill.schemas import LABELS, SignalParams
 
@@ -94,3 +95,28 @@ def test_rule_events_are_one_pass_over_the_signals(spark, monkeypatch):
         monkeypatch.setattr(module, "materialize", spy)
     assert P.rule_events(spark, SF).count() > 0
     assert written == ["native", "sizes", "signals"]
+
+
+def test_objectives_of_all_penalties_are_those_of_full_scores(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for take, n in (("a", 300), ("b", 120), ("c", 60)):
+        p = rng.dirichlet(np.ones(6) * 0.4, n // 10 + 1).repeat(10, 0)[:n]
+        rows += [(take, i, i / 30, *map(float, x)) for i, x in enumerate(p)]
+    post = P.materialize(spark.createDataFrame(rows, "take string, sample_idx long, t double, " + ", ".join(f"p_{x} double" for x in LABELS)), "post")
+    labels = [("a", 1, LABELS[i % 6], i * 0.9, (i + 1) * 0.9) for i in range(10)] + [("b", 1, LABELS[i], i * 0.5, i * 0.5 + 0.4) for i in range(6)]
+    labels = P.materialize(spark.createDataFrame(labels, "take string, cycle int, label string, start_s double, end_s double"), "labels")
+    got = {r["penalty"]: r["objective"] for r in P.penalty_objectives(post, post, labels).collect()}
+    assert sorted(got) == list(P.PENALTIES)
+    frames = post.select("take", F.col("sample_idx").alias("frame_idx"), "t")
+    for penalty in (0.25, 2.0):
+        scores = objective(full_scores(frames, G.decode_pelt(post, P.take_ends(post), penalty), labels))
+        assert got[penalty] == pytest.approx(scores.agg(F.avg("objective")).first()[0], abs=1e-9)
+
+
+def test_penalties_share_one_pass(spark, monkeypatch):
+    pushed = []
+    monkeypatch.setattr(P.G, "decode_pelt", lambda *a, **k: pushed.append(a))
+    post = spark.createDataFrame([("a", i, i / 30, *[float(k == i // 10 % 6) for k in range(6)]) for i in range(60)], "take string, sample_idx long, t double, " + ", ".join(f"p_{x} double" for x in LABELS))
+    labels = spark.createDataFrame([("a", 1, LABELS[i], i / 3, (i + 1) / 3) for i in range(6)], "take string, cycle int, label string, start_s double, end_s double")
+    assert P.penalty_objectives(post, post, labels).count() == len(P.PENALTIES) and not pushed
