@@ -91,7 +91,18 @@ def p6_hampel(spark: SparkSession, d: str) -> DataFrame:
     return out.select("take", "frame_idx", "x", F.round("rolling_median", 9).alias("rolling_median"), F.round("rolling_mad", 9).alias("rolling_mad"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_coverage, p2_found, p2_grid, p2_frames, p3_found, p3_summary, p6_found, p6_hampel)}
+def p6_hampel_series(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`p6_hampel` over every series that ``p6_found`` judges: x and y of all keypoints, and the handedness score; ``p6_hampel`` is the one series that its SQL names."""
+    df = table(spark, d, "raw_keypoints").filter(F.col("detected"))
+    held = {n: F.col(n).between(lo, hi) & ((F.col("keypoint_id") == 0) if n == "handedness_score" else F.lit(True)) for n, (lo, hi) in BOUNDS.items()}
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.when(ok, F.col(n).cast("double")).alias("value")) for n, ok in held.items()])
+    df = df.select("take", "keypoint_id", "frame_idx", F.explode(F.filter(pairs, lambda x: x["value"].isNotNull())).alias("r")).select("take", "keypoint_id", "frame_idx", "r.*").distinct()
+    df = df.withColumn("shard", F.floor(F.col("frame_idx") / 512))
+    out = hampel(df, ["take", "keypoint_id", "field"], ["frame_idx", "value"], "value", 5, 3.0, "shard").filter("outlier")
+    return out.select("take", "keypoint_id", "field", "frame_idx", "value", F.round("rolling_median", 9).alias("rolling_median"), F.round("rolling_mad", 9).alias("rolling_mad"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_coverage, p2_found, p2_grid, p2_frames, p3_found, p3_summary, p6_found, p6_hampel, p6_hampel_series)}
 
 _PERIODS = f"""
 seg AS (SELECT lower(trim(take)) AS take, CAST(floor(start_s * 1000 + 0.5) AS BIGINT) AS s, CAST(floor(end_s * 1000 + 0.5) AS BIGINT) AS e
@@ -199,4 +210,10 @@ w AS (SELECT *, list(x) OVER (PARTITION BY take ORDER BY frame_idx, x ROWS BETWE
 m AS (SELECT *, list_median(win) AS med FROM w),
 d AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM m)
 SELECT take, frame_idx, x, round(med, 9) AS rolling_median, round(mad, 9) AS rolling_mad FROM d WHERE abs(x - med) > 3 * 1.4826 * mad""",
+    "p6_hampel_series": f"""
+WITH r AS (SELECT DISTINCT * FROM ({' UNION ALL '.join(f"SELECT take, keypoint_id, frame_idx, '{n}' AS field, CAST({n} AS DOUBLE) AS value FROM raw_keypoints WHERE detected AND {n} BETWEEN {lo} AND {hi}" + (" AND keypoint_id = 0" if n == "handedness_score" else "") for n, (lo, hi) in BOUNDS.items())})),
+w AS (SELECT *, list(value) OVER (PARTITION BY take, keypoint_id, field ORDER BY frame_idx, value ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS win FROM r),
+m AS (SELECT *, list_median(win) AS med FROM w),
+d AS (SELECT *, list_median(list_transform(win, lambda v: abs(v - med))) AS mad FROM m)
+SELECT take, keypoint_id, field, frame_idx, value, round(med, 9) AS rolling_median, round(mad, 9) AS rolling_mad FROM d WHERE abs(value - med) > 3 * 1.4826 * mad""",
 }

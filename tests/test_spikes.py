@@ -116,3 +116,13 @@ def test_running_sum(spark):
     df = spark.range(50).select(F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("k"), "id", (F.col("id") % 4).alias("v"), F.floor(F.col("id") / 6).alias("s"))
     got = {r["id"]: r["t"] for r in running_sum(df, ["k"], "s", ["id"], "v", "t").collect()}
     assert got == {i: sum(j % 4 for j in range(i + 1) if (j % 3 > 0) == (i % 3 > 0)) for i in range(50)}
+
+
+def test_the_wide_filter_runs_over_every_series(spark):
+    from phasemill.plans import quality
+
+    sf = "/root/testdata/sf0.001"
+    every = quality.p6_hampel_series(spark, sf).collect()
+    assert {(r["keypoint_id"], r["field"]) for r in every} >= {(k, f) for k in (0, 4, 8, 9) for f in "xy"}
+    wrist = {(r["take"], r["frame_idx"], r["value"]) for r in every if r["keypoint_id"] == 0 and r["field"] == "x"}
+    assert wrist == {(r["take"], r["frame_idx"], r["x"]) for r in quality.p6_hampel(spark, sf).collect()}
