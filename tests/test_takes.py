@@ -1,5 +1,7 @@
 """One pass over whole takes gives what the expressions over shards give, and the pipeline writes no wide tables."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +80,34 @@ def test_decoders_of_whole_takes_are_those_of_shards(spark):
             same(every.filter(F.col("penalty") == penalty).drop("penalty"), G.decode_pelt(post, ends, penalty), ["take", "event_idx"])
 
 
+@pytest.fixture(scope="module")
+def found(spark):
+    return P._posteriors(spark, SF, folds=2)
+
+
+def test_events_of_the_predicting_pass_are_those_of_written_posteriors(found):
+    pair = tuple(found)
+    for how in P.DECODERS:
+        want = P.materialize(P.events_by(pair, how), "want")
+        assert P.events_by(found, how).columns == want.columns
+        same(P.events_by(found, how), want, ["take", "event_idx"])
+    # takes that don't fit a task
+    same(P.events_by(replace(found, limit=300, written=None)), P.materialize(P.events_by(pair), "want"), ["take", "event_idx"])
+
+
+def test_events_need_no_written_posteriors(spark, monkeypatch):
+    written, write = [], P.materialize
+
+    def spy(df, what):
+        written.append(what)
+        return write(df, what)
+
+    monkeypatch.setattr(P, "materialize", spy)
+    for query in (P.pelt_events, P.argmax_events, P.grammar_events):
+        assert query(spark, SF).count() > 0
+    assert set(written) == {"truth", "native", "sizes", "keys", "sample"}
+
+
 def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
     _, sig, _ = parts
     same(P.rule_segments(sig), P.rule_segments(sig, limit=0), ["take", "sample_idx"])
