@@ -108,6 +108,26 @@ def test_events_need_no_written_posteriors(spark, monkeypatch):
     assert set(written) == {"truth", "native", "sizes", "keys", "sample"}
 
 
+def test_labelled_signals_of_the_predicting_pass_are_those_of_written_posteriors(found):
+    want = P.materialize(P.labelled_signals(tuple(found)), "want")
+    for each in (found, replace(found, limit=300, written=None)):
+        got = P.materialize(P.labelled_signals(each), "got")
+        assert got.dtypes == want.dtypes
+        same(got.fillna("-", ["predicted_label"]), want.fillna("-", ["predicted_label"]), ["take", "sample_idx"])
+
+
+def test_served_signals_need_no_written_posteriors(spark, found, monkeypatch):
+    monkeypatch.setattr(P, "_posteriors", lambda *a, **k: replace(found, written=None))
+    written, write = [], P.materialize
+
+    def spy(df, what):
+        written.append(what)
+        return write(df, what)
+
+    monkeypatch.setattr(P, "materialize", spy)
+    assert P.serving_signals(spark, SF).count() > 0 and "posteriors" not in written
+
+
 def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
     _, sig, _ = parts
     same(P.rule_segments(sig), P.rule_segments(sig, limit=0), ["take", "sample_idx"])
