@@ -125,7 +125,8 @@ def test_served_signals_need_no_written_posteriors(spark, found, monkeypatch):
         return write(df, what)
 
     monkeypatch.setattr(P, "materialize", spy)
-    assert P.serving_signals(spark, SF).count() > 0 and "posteriors" not in written
+    for query in (P.serving_signals, P.tableau_signals):
+        assert query(spark, SF).count() > 0 and "posteriors" not in written
 
 
 def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
