@@ -11,6 +11,7 @@ from phasemill.operators import segmentation as G
 from phasemill.operators import signals as S
 from phasemill.operators.metrics import full_scores, objective
 from phasemill.plans import pipeline as P
+from phasemill.plans.serving import serve_events
 from phasemill.schemas import LABELS, SignalParams
 
 SF = "/root/testdata/sf0.001"
@@ -129,6 +130,27 @@ def test_served_signals_need_no_written_posteriors(spark, found, monkeypatch):
         assert query(spark, SF).count() > 0 and "posteriors" not in written
 
 
+def test_served_events_of_the_predicting_pass_are_those_of_written_signals(spark, found, monkeypatch):
+    post, sig = found
+    ev = P.materialize(P.events_by((post, sig)), "want").withColumn("model_version", F.lit("logreg"))
+    groups = P.table(spark, SF, "takes").select("take", "take_group").distinct()
+    want = serve_events(ev.join(groups, "take", "left"), S.build_frames(P.table(spark, SF, "raw_keypoints")), sig, F.col("take_group"))
+    written, write = [], P.materialize
+
+    def spy(df, what):
+        written.append(what)
+        return write(df, what)
+
+    monkeypatch.setattr(P, "materialize", spy)
+    for limit, wide in ((found.limit, []), (300, ["posteriors"])):
+        monkeypatch.setattr(P, "_posteriors", lambda *a, limit=limit, **k: replace(found, limit=limit, written=None))
+        written.clear()
+        got = P.pipeline_serving(spark, SF)
+        assert [w for w in written if w == "posteriors"] == wide
+        assert got.dtypes == want.dtypes
+        same(got.fillna("-", ["take_group"]), want.fillna("-", ["take_group"]), ["take", "event_idx"])
+
+
 def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
     _, sig, _ = parts
     same(P.rule_segments(sig), P.rule_segments(sig, limit=0), ["take", "sample_idx"])
