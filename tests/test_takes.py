@@ -151,6 +151,18 @@ def test_served_events_of_the_predicting_pass_are_those_of_written_signals(spark
         same(got.fillna("-", ["take_group"]), want.fillna("-", ["take_group"]), ["take", "event_idx"])
 
 
+def test_scores_need_no_written_posteriors(spark, found, monkeypatch):
+    monkeypatch.setattr(P, "_posteriors", lambda *a, **k: replace(found, written=None))
+    written, write = [], P.materialize
+
+    def spy(df, what):
+        written.append(what)
+        return write(df, what)
+
+    monkeypatch.setattr(P, "materialize", spy)
+    assert "take_group" in P.pipeline_scores(spark, SF).columns and written == ["events", "truth"]
+
+
 def test_rule_segments_and_events_of_whole_takes_are_those_of_shards(parts):
     _, sig, _ = parts
     same(P.rule_segments(sig), P.rule_segments(sig, limit=0), ["take", "sample_idx"])
